@@ -90,3 +90,132 @@ FROM (SELECT tfidf_cluster_id AS cluster_id, false AS is_new FROM baseline_vec
       UNION ALL SELECT assigned_tfidf_cluster, true FROM assigned)
 WHERE cluster_id <> -1
 GROUP BY cluster_id HAVING count(*) >= 2"""
+
+
+# --- scalar rules in DuckDB (RE2: no look-behind, no (?d); '.' already stops only at \n) ----------
+from newsweave.functions import text as TX  # noqa: E402
+
+SP = TX.SPACE
+W = TX.WORD
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def sql_strip(e: str) -> str:
+    return f"regexp_replace({e}, {_q(f'^{SP}+|{SP}+$')}, '', 'g')"
+
+
+def sql_hanja(e: str) -> str:
+    for k, v in TX.HANJA_TO_HANGUL.items():
+        if len(k) == 1:
+            e = f"replace({e}, {_q(k)}, {_q(v)})"
+    return e
+
+
+def sql_clean(e: str) -> str:
+    t = e
+    t = (f"regexp_replace({t}, {_q(f'(^|[^{TX.WORD_CHARS}]){W}[{TX.WORD_CHARS}.-]* ?@ ?[{TX.WORD_CHARS}.-]+[.]{W}+')}, "
+         f"'\\1', 'g')")
+    t = f"regexp_replace({t}, {_q(f'@{W}+')}, '', 'g')"
+    t = f"regexp_replace({t}, {_q(f'https?://{TX.NON_SPACE}+|url[.]kr/{TX.NON_SPACE}+')}, '', 'g')"
+    for sym in TX.REMOVED_SYMBOLS:
+        t = f"replace({t}, {_q(sym)}, '')"
+    t = f"regexp_replace({t}, {_q(r'[[].*?[]]')}, '', 'g')"
+    t = f"regexp_replace({t}, {_q(r'[\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}]')}, '', 'g')"
+    t = f"regexp_replace({t}, {_q('※.*')}, '', 'g')"
+    for label, sep in TX.META_RULES:
+        t = f"regexp_replace({t}, {_q(f'{label}{SP}*{sep}{SP}*.*')}, '', 'g')"
+    t = f"regexp_replace({t}, {_q(f'{TX.KAKAO_LABEL}{SP}*:{SP}*@{W}+')}, '', 'g')"
+    t = f"regexp_replace({t}, {_q('ⓒ[^.\\n]*[.\\n]?')}, '', 'g')"
+    t = f"regexp_replace({t}, {_q('▲[^.\\n]*[.\\n]?')}, '', 'g')"
+    t = f"replace({t}, {_q(chr(92) + chr(39))}, {_q(chr(39))})"
+    t = f"regexp_replace({t}, {_q(f'{SP}+')}, ' ', 'g')"
+    return sql_strip(t)
+
+
+def sql_korean_dt(e: str) -> str:
+    s = sql_strip(e)
+    pat = _q(f"^([0-9]{{4}})[.]([0-9]{{2}})[.]([0-9]{{2}})[.]{SP}*({TX.AM}|{TX.PM}){SP}*([0-9]+):([0-9]+)")
+
+    def g(i):
+        return f"regexp_extract({s}, {pat}, {i})"
+
+    hour = f"TRY_CAST({g(5)} AS INTEGER)"
+    hour = (f"(CASE WHEN {g(4)} = {_q(TX.AM)} AND {hour} = 12 THEN 0 "
+            f"WHEN {g(4)} = {_q(TX.PM)} AND {hour} <> 12 THEN {hour} + 12 ELSE {hour} END)")
+    return (f"(CASE WHEN regexp_matches({s}, {pat}) THEN try(make_timestamp("
+            f"TRY_CAST({g(1)} AS BIGINT), TRY_CAST({g(2)} AS BIGINT), TRY_CAST({g(3)} AS BIGINT), "
+            f"{hour}, TRY_CAST({g(6)} AS BIGINT), 0.0)) END)")
+
+
+def sql_tokens(e: str) -> str:
+    return f"regexp_extract_all(lower({e}), {_q(f'({W}{{2,}})')}, 1)"
+
+
+def sql_fill(e: str) -> str:
+    return f"coalesce(CAST({e} AS VARCHAR), '')"
+
+
+PREPROCESSED = f"""
+pre_a AS (
+  SELECT pos, press, news_summary, news_link, publish_date AS datetime,
+         {sql_clean(sql_hanja(sql_fill('title')))} AS title,
+         {sql_clean(sql_hanja(sql_fill('news_summary')))} AS summary
+  FROM raw_articles
+),
+articles AS (
+  SELECT pos, title, press, news_summary, summary, datetime,
+         {sql_korean_dt('datetime')} AS publish_date,
+         {sql_tokens(sql_strip("title || ' ' || summary"))} AS konlpy_nouns,
+         news_link
+  FROM pre_a
+)"""
+
+
+def clean_text_sql() -> str:
+    return f"SELECT doc_id, {sql_clean('text')} AS cleaned FROM documents"
+
+
+def remove_brackets_sql() -> str:
+    return with_(RAW_ARTICLES) + f"""
+SELECT pos, {sql_strip(f"regexp_replace(title, {_q(r'[[].*?[]]')}, '', 'g')")} AS title FROM raw_articles"""
+
+
+def korean_datetime_sql() -> str:
+    return with_(RAW_ARTICLES) + f"SELECT pos, {sql_korean_dt('publish_date')} AS publish_ts FROM raw_articles"
+
+
+def preprocess_sql() -> str:
+    return with_(RAW_ARTICLES, PREPROCESSED) + """
+SELECT pos, title, summary, press, datetime, publish_date, array_to_string(konlpy_nouns, ' ') AS nouns_text,
+       len(konlpy_nouns) AS n_nouns, news_link
+FROM articles"""
+
+
+def tokens_sql() -> str:
+    return f"""SELECT doc_id, len(t) AS n_tokens, len(list_distinct(t)) AS n_distinct,
+  array_to_string(t, ' ') AS tokens_text FROM (SELECT doc_id, {sql_tokens('text')} AS t FROM documents)"""
+
+
+def parse_vector_sql() -> str:
+    return """
+SELECT vec_id, CAST(i - 1 AS INTEGER) AS dim, round(CAST(v AS DOUBLE), 6) AS value
+FROM (SELECT vec_id, list_transform(embedding, lambda x: CAST(CAST(x AS VARCHAR) AS FLOAT)) AS p FROM embeddings),
+     unnest(p) WITH ORDINALITY AS u(v, i)"""
+
+
+def parse_tokens_sql() -> str:
+    return f"""SELECT doc_id, len(t) AS n_tokens, array_to_string(t, ' ') AS tokens_text
+FROM (SELECT doc_id, {sql_tokens('text')} AS t FROM documents)"""
+
+
+def nonempty_summary_sql() -> str:
+    return with_(RAW_ARTICLES) + f"""
+SELECT pos, news_link FROM raw_articles
+WHERE news_summary IS NOT NULL AND length({sql_strip('news_summary')}) > 0"""
+
+
+def parse_sort_ts_sql() -> str:
+    return with_(RAW_ARTICLES) + "SELECT pos, TRY_CAST(datetime_sort AS TIMESTAMP) AS sort_ts FROM raw_articles"

@@ -39,3 +39,61 @@ def q_cluster_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy("cluster_id")
             .agg(F.count("*").alias("n_articles"), F.count_if("is_new").alias("n_new"))
             .where(F.col("n_articles") >= 2))
+
+
+# --- text rules and ingest ------------------------------------------------------------------------
+from newsweave.functions import text as TX  # noqa: E402
+from newsweave.plans import ingest as IG  # noqa: E402
+
+
+def _articles(spark, sf_dir):
+    return IG.preprocess(TD.raw_articles(spark, sf_dir))
+
+
+def q_clean_text(spark, sf_dir):
+    return TD.table(spark, sf_dir, "documents").select("doc_id", TX.clean_content("text").alias("cleaned"))
+
+
+def q_remove_brackets(spark, sf_dir):
+    return TD.raw_articles(spark, sf_dir).select("pos", TX.remove_brackets("title").alias("title"))
+
+
+def q_korean_datetime(spark, sf_dir):
+    return TD.raw_articles(spark, sf_dir).select("pos", TX.korean_datetime("publish_date").alias("publish_ts"))
+
+
+def q_preprocess(spark, sf_dir):
+    a = _articles(spark, sf_dir)
+    return a.select("pos", "title", "summary", "press", "datetime", "publish_date",
+                    F.array_join("konlpy_nouns", " ").alias("nouns_text"),
+                    F.size("konlpy_nouns").alias("n_nouns"), "news_link")
+
+
+def q_tokens(spark, sf_dir):
+    t = TD.table(spark, sf_dir, "documents").select("doc_id", TX.regex_tokens("text").alias("t"))
+    return t.select("doc_id", F.size("t").alias("n_tokens"), F.size(F.array_distinct("t")).alias("n_distinct"),
+                    F.array_join("t", " ").alias("tokens_text"))
+
+
+def q_parse_vector(spark, sf_dir):
+    e = TD.table(spark, sf_dir, "embeddings")
+    p = e.select("vec_id", TX.parse_vector_text(TX.vector_text("embedding")).alias("p"))
+    return p.select("vec_id", F.posexplode("p").alias("dim", "v")) \
+        .select("vec_id", "dim", F.round(F.col("v").cast("double"), R6).alias("value"))
+
+
+def q_parse_tokens(spark, sf_dir):
+    t = TD.table(spark, sf_dir, "documents").select("doc_id", TX.regex_tokens("text").alias("t"))
+    lit = F.concat(F.lit("["), F.array_join(F.transform("t", lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "),
+                   F.lit("]"))
+    p = t.select("doc_id", TX.parse_list_literal(lit).alias("p"))
+    return p.select("doc_id", F.size("p").alias("n_tokens"), F.array_join("p", " ").alias("tokens_text"))
+
+
+def q_nonempty_summary(spark, sf_dir):
+    r = TD.raw_articles(spark, sf_dir)
+    return r.where(TX.nonempty_text("news_summary")).select("pos", "news_link")
+
+
+def q_parse_sort_ts(spark, sf_dir):
+    return TD.raw_articles(spark, sf_dir).select("pos", TX.lenient_timestamp("datetime_sort").alias("sort_ts"))
