@@ -219,3 +219,209 @@ WHERE news_summary IS NOT NULL AND length({sql_strip('news_summary')}) > 0"""
 
 def parse_sort_ts_sql() -> str:
     return with_(RAW_ARTICLES) + "SELECT pos, TRY_CAST(datetime_sort AS TIMESTAMP) AS sort_ts FROM raw_articles"
+
+
+# --- TF-IDF / neighbours / DBSCAN in SQL --------------------------------------------------------
+from newsweave.operators import tfidf as _TF  # noqa: E402
+
+
+def tfidf_ctes(src: str, tokens: str = "konlpy_nouns", prefix: str = "") -> str:
+    """CTEs {prefix}vec(pos, gram, tf, df, w) for the rows of CTE ``src``."""
+    stop = ", ".join(_q(s) for s in _TF.STOP_WORDS)
+    p = prefix
+    return f"""
+{p}toks AS (
+  SELECT pos, list_filter(regexp_extract_all(lower(array_to_string({tokens}, ' ')), {_q(f'({W}{{2,}})')}, 1),
+                          lambda x: NOT list_contains([{stop}], x)) AS t
+  FROM {src}
+),
+{p}idx AS (SELECT pos, t, unnest(generate_series(1, len(t))) AS i FROM {p}toks),
+{p}grams AS (
+  SELECT pos, array_to_string(list_slice(t, i, i + n - 1), ' ') AS gram
+  FROM {p}idx, (VALUES (1), (2), (3), (4), (5)) ns(n) WHERE i + n - 1 <= len(t)
+),
+{p}tf AS (SELECT pos, gram, count(*) AS tf FROM {p}grams GROUP BY ALL),
+{p}dfq AS (SELECT gram, count(*) AS df FROM {p}tf GROUP BY gram HAVING count(*) >= 2),
+{p}ndocs AS (SELECT count(*) AS n FROM {src}),
+{p}w0 AS (SELECT tf.pos, tf.gram, tf.tf, d.df, tf.tf * (ln((1 + n) / (1 + d.df)) + 1) AS w
+          FROM {p}tf tf JOIN {p}dfq d USING (gram), {p}ndocs),
+{p}vec AS (SELECT pos, gram, tf, df, w / sqrt(sum(w * w) OVER (PARTITION BY pos)) AS w FROM {p}w0)"""
+
+
+def neighbour_ctes(vec: str, eps: float, prefix: str = "") -> str:
+    """{prefix}pairs(a, b, sim): brute-force sparse dot products, a < b, 1 - sim <= eps."""
+    p = prefix
+    return f"""
+{p}pairs AS (
+  SELECT a, b, sim FROM (
+    SELECT x.pos AS a, y.pos AS b, sum(x.w * y.w) AS sim
+    FROM {vec} x JOIN {vec} y ON x.gram = y.gram AND x.pos < y.pos GROUP BY ALL)
+  WHERE 1 - sim <= {eps}
+)"""
+
+
+def dbscan_ctes(points: str, pairs: str, min_samples: int, prefix: str = "") -> str:
+    """{prefix}labels(pos, label) from neighbour pairs of non-zero rows (self counts)."""
+    p = prefix
+    return f"""
+{p}nb AS (SELECT a AS x, b AS y FROM {pairs} UNION ALL SELECT b, a FROM {pairs}),
+{p}cnt AS (
+  SELECT pos, 1 + coalesce((SELECT count(*) FROM {p}nb WHERE {p}nb.x = pos), 0) AS c
+  FROM {points} WHERE nonzero
+),
+{p}core AS (SELECT pos FROM {p}cnt WHERE c >= {min_samples}),
+{p}cedge AS (SELECT x, y FROM {p}nb WHERE x IN (SELECT pos FROM {p}core) AND y IN (SELECT pos FROM {p}core)),
+{p}reach AS (
+  WITH RECURSIVE r(node, src) AS (
+    SELECT pos, pos FROM {p}core
+    UNION
+    SELECT e.y, r.src FROM r JOIN {p}cedge e ON e.x = r.node
+  )
+  SELECT node, min(src) AS root FROM r GROUP BY node
+),
+{p}num AS (SELECT root, CAST(dense_rank() OVER (ORDER BY root) - 1 AS INTEGER) AS label FROM (SELECT DISTINCT root FROM {p}reach)),
+{p}corelab AS (SELECT r.node AS pos, n.label FROM {p}reach r JOIN {p}num n USING (root)),
+{p}borderlab AS (
+  SELECT e.x AS pos, min(c.label) AS label FROM {p}nb e JOIN {p}corelab c ON c.pos = e.y
+  WHERE e.x NOT IN (SELECT pos FROM {p}core) GROUP BY e.x
+),
+{p}labels AS (
+  SELECT pt.pos, CAST(coalesce(cl.label, bl.label, -1) AS INTEGER) AS label
+  FROM {points} pt LEFT JOIN {p}corelab cl USING (pos) LEFT JOIN {p}borderlab bl USING (pos)
+)"""
+
+
+def tfidf_sql() -> str:
+    return with_(RAW_ARTICLES, PREPROCESSED, tfidf_ctes("articles")) + \
+        "SELECT pos, gram, tf, df, round(w, 6) AS w FROM vec"
+
+
+def similar_pairs_sql() -> str:
+    return with_(RAW_ARTICLES, PREPROCESSED, tfidf_ctes("articles"), neighbour_ctes("vec", 0.6)) + \
+        "SELECT a, b, round(sim, 4) AS sim FROM pairs"
+
+
+def dbscan_labels_sql() -> str:
+    pts = "pts AS (SELECT a.pos, a.pos IN (SELECT pos FROM vec) AS nonzero FROM articles a)"
+    return with_(RAW_ARTICLES, PREPROCESSED, tfidf_ctes("articles"), neighbour_ctes("vec", 0.6), pts,
+                 dbscan_ctes("pts", "pairs", 2)) + "SELECT pos, label FROM labels"
+
+
+def dbscan_embeddings_sql() -> str:
+    dense = """
+dpairs AS (
+  SELECT a, b FROM (
+    SELECT x.pos AS a, y.pos AS b,
+           list_dot_product(x.embedding, y.embedding) / (sqrt(list_dot_product(x.embedding, x.embedding)) * sqrt(list_dot_product(y.embedding, y.embedding))) AS sim
+    FROM planted x JOIN planted y ON x.pos < y.pos)
+  WHERE 1 - sim <= 0.25
+),
+pts AS (SELECT pos, list_dot_product(embedding, embedding) > 0 AS nonzero FROM planted)"""
+    return with_(PLANTED, dense, dbscan_ctes("pts", "dpairs", 3)) + "SELECT pos, label FROM labels"
+
+
+# --- batch cluster cycle over the articles (documents-derived) -------------------------------
+def _emb_ctes(src: str) -> str:
+    return f"""
+emb_tok AS (SELECT pos, unnest({sql_tokens("coalesce(CAST(news_summary AS VARCHAR), '')")}) AS t FROM {src}),
+emb AS (
+  SELECT pos, CAST((CAST('0x' || substr(md5(t), 1, 8) AS BIGINT)) % 64 AS INTEGER) AS dim,
+         sum(CASE WHEN substr(md5(t), 9, 1) < '8' THEN 1.0 ELSE -1.0 END) AS val
+  FROM emb_tok GROUP BY ALL
+)"""
+
+
+def cycle_ctes(db_max_id: int = 0) -> str:
+    return ",".join(c.strip("\n") for c in [
+        RAW_ARTICLES, PREPROCESSED,
+        "cyc_base AS (SELECT * FROM articles WHERE pos % 7 <> 0)",
+        "cyc_new AS (SELECT * FROM articles WHERE pos % 7 = 0)",
+        tfidf_ctes("cyc_base", prefix="b_"), neighbour_ctes("b_vec", 0.6, prefix="b_"),
+        "b_pts AS (SELECT pos, pos IN (SELECT pos FROM b_vec) AS nonzero FROM cyc_base)",
+        dbscan_ctes("b_pts", "b_pairs", 3, prefix="b_"),
+        _emb_ctes("articles"),
+        """
+c_meta AS (SELECT label AS cluster_id, min(pos) AS first_pos, count(*) AS n FROM b_labels WHERE label <> -1 GROUP BY ALL),
+c_dims AS (SELECT l.label AS cluster_id, e.dim, sum(e.val) AS s FROM b_labels l JOIN emb e USING (pos) WHERE l.label <> -1 GROUP BY ALL),
+c_vec AS (SELECT d.cluster_id, d.dim, d.s / m.n AS v, m.first_pos FROM c_dims d JOIN c_meta m USING (cluster_id)),
+c_norm AS (SELECT cluster_id, sqrt(sum(v * v)) AS nrm FROM c_vec GROUP BY ALL),
+e_norm AS (SELECT pos, sqrt(sum(val * val)) AS nrm FROM emb GROUP BY ALL),
+n_sims AS (
+  SELECT n.pos, c.cluster_id, c.first_pos, sum(e.val * c.v) / (en.nrm * cn.nrm) AS sim
+  FROM cyc_new n JOIN emb e USING (pos) JOIN c_vec c ON c.dim = e.dim
+       JOIN e_norm en ON en.pos = n.pos JOIN c_norm cn ON cn.cluster_id = c.cluster_id
+  WHERE en.nrm > 0 AND cn.nrm > 0 GROUP BY ALL
+),
+n_assigned AS (
+  SELECT n.pos, coalesce(b.cluster_id, -1) AS assigned
+  FROM cyc_new n LEFT JOIN (
+    SELECT pos, cluster_id FROM (
+      SELECT *, row_number() OVER (PARTITION BY pos ORDER BY sim DESC, first_pos) AS rn FROM n_sims WHERE sim >= 0.85)
+    WHERE rn = 1) b USING (pos)
+),
+pool AS (
+  SELECT a.pos AS pos, a.konlpy_nouns FROM cyc_base a JOIN b_labels l USING (pos) WHERE l.label = -1
+  UNION ALL
+  SELECT a.pos + 1099511627776 AS pos, a.konlpy_nouns FROM cyc_new a JOIN n_assigned s USING (pos) WHERE s.assigned = -1
+)""",
+        tfidf_ctes("pool", prefix="t_"), neighbour_ctes("t_vec", 0.6, prefix="t_"),
+        "t_pts AS (SELECT pos, pos IN (SELECT pos FROM t_vec) AS nonzero FROM pool)",
+        dbscan_ctes("t_pts", "t_pairs", 2, prefix="t_"),
+        f"""
+t_start AS (
+  SELECT coalesce(max(c) + 1, 0) AS start FROM (
+    SELECT label AS c FROM b_labels WHERE label <> -1 UNION ALL SELECT assigned FROM n_assigned WHERE assigned <> -1)
+),
+merged AS (
+  SELECT false AS is_new, l.pos, CASE WHEN t.label IS NOT NULL AND t.label <> -1 THEN t.label + s.start ELSE l.label END AS tfidf_cluster_id,
+         (t.label IS NOT NULL AND t.label <> -1) AS is_third
+  FROM b_labels l LEFT JOIN t_labels t ON t.pos = l.pos, t_start s
+  UNION ALL
+  SELECT true, a.pos, CASE WHEN t.label IS NOT NULL AND t.label <> -1 THEN t.label + s.start ELSE a.assigned END,
+         (t.label IS NOT NULL AND t.label <> -1)
+  FROM n_assigned a LEFT JOIN t_labels t ON t.pos = a.pos + 1099511627776, t_start s
+),
+seed AS (
+  SELECT greatest(coalesce(max(tfidf_cluster_id), {db_max_id}), {db_max_id}) + 1 AS start
+  FROM merged WHERE NOT is_new AND NOT is_third AND tfidf_cluster_id <> -1
+),
+grp_a AS (SELECT DISTINCT tfidf_cluster_id AS l FROM merged WHERE is_new AND NOT is_third AND tfidf_cluster_id <> -1),
+grp_b AS (SELECT DISTINCT tfidf_cluster_id AS l FROM merged WHERE is_new AND is_third AND tfidf_cluster_id <> -1),
+id_map AS (
+  SELECT l, max_by(cid, g) AS cid FROM (
+    SELECT l, seed.start + row_number() OVER (ORDER BY l) - 1 AS cid, 0 AS g FROM grp_a, seed
+    UNION ALL
+    SELECT l, seed.start + (SELECT count(*) FROM grp_a) + row_number() OVER (ORDER BY l) - 1, 1 FROM grp_b, seed)
+  GROUP BY l
+),
+clustered AS (
+  SELECT m.*, CAST(coalesce(i.cid, -1) AS INTEGER) AS cluster_id
+  FROM merged m LEFT JOIN id_map i ON i.l = m.tfidf_cluster_id
+)"""])
+
+
+def embed_sql() -> str:
+    return with_(RAW_ARTICLES, PREPROCESSED, _emb_ctes("articles")) + \
+        "SELECT pos, dim, val FROM emb WHERE val <> 0"
+
+
+def baseline_labels_sql() -> str:
+    return "WITH " + cycle_ctes() + "\nSELECT pos, label AS tfidf_cluster_id FROM b_labels"
+
+
+def third_stage_sql() -> str:
+    return "WITH " + cycle_ctes() + "\nSELECT is_new, pos, CAST(tfidf_cluster_id AS INTEGER) AS tfidf_cluster_id, is_third FROM merged"
+
+
+def assign_cluster_ids_sql() -> str:
+    return "WITH " + cycle_ctes() + "\nSELECT is_new, pos, CAST(tfidf_cluster_id AS INTEGER) AS tfidf_cluster_id, cluster_id FROM clustered"
+
+
+def target_clusters_sql() -> str:
+    return "WITH " + cycle_ctes() + """,
+pre AS (SELECT DISTINCT tfidf_cluster_id AS l FROM clustered WHERE NOT is_new AND NOT is_third AND tfidf_cluster_id <> -1),
+third AS (SELECT DISTINCT tfidf_cluster_id AS l FROM clustered WHERE is_third AND tfidf_cluster_id <> -1),
+joined AS (SELECT DISTINCT tfidf_cluster_id AS l FROM clustered WHERE is_new AND NOT is_third AND tfidf_cluster_id <> -1
+           AND tfidf_cluster_id IN (SELECT l FROM pre)),
+labs AS (SELECT l FROM third WHERE l NOT IN (SELECT l FROM pre) UNION SELECT l FROM joined)
+SELECT DISTINCT cluster_id FROM clustered WHERE tfidf_cluster_id IN (SELECT l FROM labs) AND cluster_id <> -1"""

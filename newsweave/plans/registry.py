@@ -97,3 +97,80 @@ def q_nonempty_summary(spark, sf_dir):
 
 def q_parse_sort_ts(spark, sf_dir):
     return TD.raw_articles(spark, sf_dir).select("pos", TX.lenient_timestamp("datetime_sort").alias("sort_ts"))
+
+
+# --- TF-IDF, similarity joins, DBSCAN -------------------------------------------------------------
+from newsweave.operators import dbscan as DB  # noqa: E402
+from newsweave.operators import simjoin as SJ  # noqa: E402
+from newsweave.operators import tfidf as TF  # noqa: E402
+
+THIRD_EPS, THIRD_MIN = 0.6, 2
+EMB_EPS, EMB_MIN = 0.25, 3
+
+
+def q_tfidf(spark, sf_dir):
+    v = TF.tfidf(_articles(spark, sf_dir))
+    return v.select("pos", "gram", "tf", "df", F.round("w", R6).alias("w"))
+
+
+def q_similar_pairs(spark, sf_dir):
+    v = TF.tfidf(_articles(spark, sf_dir))
+    pairs, reps = SJ.sparse_cosine_pairs(v, THIRD_EPS)
+    # expand representatives back to every copy: all pairs of rows, as the brute force sees them
+    r = reps.select("pos", "rep")
+    ex = (pairs.join(r.withColumnsRenamed({"rep": "a", "pos": "x"}), "a")
+          .join(r.withColumnsRenamed({"rep": "b", "pos": "y"}), "b")
+          .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "sim"))
+    dup = (r.join(r.withColumnsRenamed({"pos": "pos2"}), "rep").where(F.col("pos") < F.col("pos2"))
+           .select(F.col("pos").alias("a"), F.col("pos2").alias("b"), F.lit(1.0).alias("sim")))
+    return ex.unionByName(dup).select("a", "b", F.round("sim", 4).alias("sim"))
+
+
+def q_dbscan_labels(spark, sf_dir):
+    a = _articles(spark, sf_dir)
+    v = TF.tfidf(a)
+    pairs, reps = SJ.sparse_cosine_pairs(v, THIRD_EPS)
+    return DB.dbscan_labels(a.select("pos"), pairs, reps, THIRD_MIN).select("pos", "label")
+
+
+def q_dbscan_embeddings(spark, sf_dir):
+    pv = TD.planted_vectors(spark, sf_dir).select("pos", "embedding")
+    pairs, reps = SJ.dense_cosine_pairs(pv, EMB_EPS)
+    return DB.dbscan_labels(pv.select("pos"), pairs, reps, EMB_MIN).select("pos", "label")
+
+
+# --- batch cluster cycle ------------------------------------------------------------------------
+from newsweave.operators.encoder import hashing_encoder  # noqa: E402
+from newsweave.plans import stages as ST  # noqa: E402
+
+NEW_EVERY = 7
+
+
+def _cycle(spark, sf_dir):
+    """Articles split into the clustered baseline and this cycle's new articles
+    (doc_id % 7 == 0); every article is used on one side or the other."""
+    a = _articles(spark, sf_dir).withColumn("is_new", (F.col("pos") % NEW_EVERY) == 0)
+    return ST.cluster_cycle(a, db_max_id=0)
+
+
+def q_embed(spark, sf_dir):
+    a = _articles(spark, sf_dir).select("pos", hashing_encoder("news_summary").alias("e"))
+    return a.select("pos", F.posexplode("e").alias("dim", "val")).where(F.col("val") != 0)
+
+
+def q_baseline_labels(spark, sf_dir):
+    a = _articles(spark, sf_dir).where((F.col("pos") % NEW_EVERY) != 0)
+    lab = ST.tfidf_dbscan(a.withColumn("ord", F.col("pos")), 0.6, 3)
+    return lab.select(F.col("ord").alias("pos"), F.col("label").alias("tfidf_cluster_id"))
+
+
+def q_third_stage(spark, sf_dir):
+    return _cycle(spark, sf_dir).select("is_new", "pos", "tfidf_cluster_id", "is_third")
+
+
+def q_assign_cluster_ids(spark, sf_dir):
+    return _cycle(spark, sf_dir).select("is_new", "pos", "tfidf_cluster_id", "cluster_id")
+
+
+def q_target_clusters(spark, sf_dir):
+    return ST.target_clusters(_cycle(spark, sf_dir))

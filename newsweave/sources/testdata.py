@@ -24,7 +24,15 @@ PLANT_SCALE = 0.4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy row work (regex cleaning, n-grams) every core: a table read as fewer
+    splits than the default parallelism (one small file) is redistributed. Large inputs
+    already arrive in many splits and are left alone, so this never shuffles at scale."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
 
 
 def _publish_ts(doc_id):
