@@ -347,10 +347,10 @@ c_vec AS (SELECT d.cluster_id, d.dim, d.s / m.n AS v, m.first_pos FROM c_dims d
 c_norm AS (SELECT cluster_id, sqrt(sum(v * v)) AS nrm FROM c_vec GROUP BY ALL),
 e_norm AS (SELECT pos, sqrt(sum(val * val)) AS nrm FROM emb GROUP BY ALL),
 n_sims AS (
-  SELECT n.pos, c.cluster_id, c.first_pos, sum(e.val * c.v) / (en.nrm * cn.nrm) AS sim
+  SELECT n.pos, c.cluster_id, c.first_pos, sum(e.val * c.v) / (any_value(en.nrm) * any_value(cn.nrm)) AS sim
   FROM cyc_new n JOIN emb e USING (pos) JOIN c_vec c ON c.dim = e.dim
        JOIN e_norm en ON en.pos = n.pos JOIN c_norm cn ON cn.cluster_id = c.cluster_id
-  WHERE en.nrm > 0 AND cn.nrm > 0 GROUP BY ALL
+  WHERE en.nrm > 0 AND cn.nrm > 0 GROUP BY n.pos, c.cluster_id, c.first_pos
 ),
 n_assigned AS (
   SELECT n.pos, coalesce(b.cluster_id, -1) AS assigned
@@ -425,3 +425,132 @@ joined AS (SELECT DISTINCT tfidf_cluster_id AS l FROM clustered WHERE is_new AND
            AND tfidf_cluster_id IN (SELECT l FROM pre)),
 labs AS (SELECT l FROM third WHERE l NOT IN (SELECT l FROM pre) UNION SELECT l FROM joined)
 SELECT DISTINCT cluster_id FROM clustered WHERE tfidf_cluster_id IN (SELECT l FROM labs) AND cluster_id <> -1"""
+
+
+# --- summaries and load -------------------------------------------------------------------------
+from newsweave.plans import summaries as _SM  # noqa: E402
+
+
+def sql_fmt(template: str, **exprs) -> str:
+    import re
+    parts, pos = [], 0
+    for m in re.finditer(r"\{(\w+)\}", template):
+        parts.append(_q(template[pos:m.start()].replace("{{", "{").replace("}}", "}")))
+        parts.append(f"coalesce(CAST({exprs[m.group(1)]} AS VARCHAR), 'nan')")
+        pos = m.end()
+    parts.append(_q(template[pos:].replace("{{", "{").replace("}}", "}")))
+    return "(" + " || ".join(parts) + ")"
+
+
+def _summary_ctes(p: str, where: str) -> str:
+    layout = sql_fmt(_SM.ARTICLE_LAYOUT, n="pos + 1", title="title", news_summary="news_summary", press="press")
+    prompt = sql_fmt(_SM.PROMPT_TEMPLATE, articles="body", cluster_id="cluster_id", summary_time="'2025-07-11 09:00'")
+    return f"""
+{p}art AS (
+  SELECT *, TRY_CAST(regexp_extract(press, '[0-9]+') AS INTEGER) AS cluster_id,
+         (pos % 7 = 0) AS is_new, false AS is_third
+  FROM articles WHERE {where}
+),
+{p}big AS (SELECT cluster_id, count(*) AS n FROM {p}art WHERE cluster_id IS NOT NULL AND cluster_id <> -1 GROUP BY ALL HAVING count(*) >= 2),
+{p}prompts AS (
+  SELECT cluster_id, n, {prompt} AS prompt FROM (
+    SELECT a.cluster_id, b.n, string_agg({layout}, chr(10) || chr(10) ORDER BY a.pos) AS body
+    FROM {p}art a JOIN {p}big b USING (cluster_id) GROUP BY ALL)
+),
+{p}parsed AS (
+  SELECT cluster_id,
+         CASE cluster_id % 5 WHEN 3 THEN 'skipped' WHEN 2 THEN 'failed' ELSE 'ok' END AS status,
+         CASE WHEN cluster_id % 5 IN (2, 3) THEN '' ELSE 'topic ' || CAST(cluster_id AS VARCHAR) END AS topic_name,
+         CASE WHEN cluster_id % 5 IN (2, 3) THEN '' ELSE 'summary of ' || CAST(n AS VARCHAR) || ' articles' END AS ai_summary,
+         '2025-07-11 09:00' AS summary_time,
+         CASE WHEN cluster_id % 5 IN (2, 3) THEN 0 ELSE n END AS n_titles
+  FROM {p}big
+),
+{p}ok AS (SELECT cluster_id FROM {p}parsed WHERE status = 'ok'),
+{p}tl AS (
+  SELECT cluster_id, title, CAST(row_number() OVER (PARTITION BY cluster_id ORDER BY pos DESC) - 1 AS INTEGER) AS title_pos
+  FROM {p}art WHERE cluster_id IN (SELECT cluster_id FROM {p}ok)
+),
+{p}firsts AS (SELECT cluster_id, title, min(pos) AS fpos FROM {p}art WHERE cluster_id IS NOT NULL AND cluster_id <> -1 GROUP BY ALL),
+{p}matched AS (
+  SELECT t.cluster_id, t.title_pos, a.pos, a.title, a.news_link, a.press,
+         strftime(a.publish_date, '%Y-%m-%d %H:%M:%S') AS publish_date,
+         coalesce(a.news_summary, '') AS news_summary, CAST(a.is_new AS INTEGER) AS is_new,
+         CAST(a.is_third AS INTEGER) AS is_third
+  FROM {p}tl t JOIN {p}firsts f USING (cluster_id, title) JOIN {p}art a ON a.pos = f.fpos
+)"""
+
+
+def _load_ctes() -> str:
+    return ",".join(c.strip("\n") for c in [
+        RAW_ARTICLES, PREPROCESSED, _summary_ctes("p_", "pos % 7 <> 0"), _summary_ctes("c_", "true"), """
+stored_topic AS (SELECT cluster_id AS id FROM p_ok),
+stored_news AS (
+  SELECT DISTINCT ON (cluster_id, title, news_link) cluster_id AS topic_id, title, news_link, press, publish_date,
+         news_summary, is_new, is_third
+  FROM p_matched
+),
+new_topics AS (SELECT p.cluster_id AS id, p.topic_name, p.ai_summary, p.summary_time FROM c_parsed p
+               WHERE p.status = 'ok' AND p.cluster_id NOT IN (SELECT id FROM stored_topic)),
+cur AS (
+  SELECT DISTINCT ON (cluster_id, title, news_link) cluster_id AS topic_id, title, news_link, press, publish_date,
+         news_summary, is_new, is_third
+  FROM c_matched
+),
+ins_news AS (
+  SELECT c.* FROM cur c
+  WHERE c.topic_id IN (SELECT id FROM stored_topic UNION SELECT id FROM new_topics)
+    AND NOT EXISTS (SELECT 1 FROM stored_news s WHERE s.topic_id IS NOT DISTINCT FROM c.topic_id
+                    AND s.title IS NOT DISTINCT FROM c.title AND s.news_link IS NOT DISTINCT FROM c.news_link)
+),
+all_news AS (SELECT * FROM stored_news UNION ALL SELECT * FROM ins_news)"""])
+
+
+def build_prompts_sql() -> str:
+    return with_(RAW_ARTICLES, PREPROCESSED, _summary_ctes("c_", "true")) + "SELECT cluster_id, n, prompt FROM c_prompts"
+
+
+def prompt_titles_sql() -> str:
+    return with_(RAW_ARTICLES, PREPROCESSED, _summary_ctes("c_", "true")) + f"""
+SELECT cluster_id, len(regexp_extract_all(prompt, {_q(f'[0-9]+[.]{SP}+title:')})) AS n_titles FROM c_prompts"""
+
+
+def parse_response_sql() -> str:
+    return with_(RAW_ARTICLES, PREPROCESSED, _summary_ctes("c_", "true")) + \
+        "SELECT cluster_id, status, topic_name, ai_summary, summary_time, n_titles FROM c_parsed"
+
+
+def match_titles_sql() -> str:
+    return with_(RAW_ARTICLES, PREPROCESSED, _summary_ctes("c_", "true")) + \
+        "SELECT cluster_id, title_pos, pos, title, news_link FROM c_matched"
+
+
+def summaries_sql() -> str:
+    return with_(RAW_ARTICLES, PREPROCESSED, _summary_ctes("c_", "true")) + \
+        "SELECT cluster_id, summary_time, topic_name, ai_summary, '' AS image_url FROM c_parsed WHERE status = 'ok'"
+
+
+def failed_responses_sql() -> str:
+    # the failing answers are JSON text with trailing words; compare the ids and the marker
+    return with_(RAW_ARTICLES, PREPROCESSED, _summary_ctes("c_", "true")) + """
+SELECT CAST(cluster_id AS BIGINT) AS cluster_id, true AS has_trailing_words FROM c_parsed WHERE status = 'failed'"""
+
+
+def new_topics_sql() -> str:
+    return "WITH " + _load_ctes() + "\nSELECT id, topic_name, ai_summary, summary_time FROM new_topics"
+
+
+def insert_news_sql() -> str:
+    return "WITH " + _load_ctes() + "\nSELECT * FROM ins_news"
+
+
+def refresh_is_new_sql() -> str:
+    ts = ("coalesce(try_strptime(publish_date, '%Y-%m-%d %H:%M:%S'), try_strptime(publish_date, '%Y-%m-%d %H:%M'))")
+    return "WITH " + _load_ctes() + f""",
+refd AS (SELECT max({ts}) AS r FROM all_news)
+SELECT topic_id, title, news_link, CASE WHEN {ts} >= r - INTERVAL 24 HOUR THEN 1 ELSE 0 END AS is_new
+FROM all_news, refd"""
+
+
+def news_count_sql() -> str:
+    return "WITH " + _load_ctes() + "\nSELECT count(*) AS n_news FROM all_news"

@@ -174,3 +174,99 @@ def q_assign_cluster_ids(spark, sf_dir):
 
 def q_target_clusters(spark, sf_dir):
     return ST.target_clusters(_cycle(spark, sf_dir))
+
+
+# --- summaries and load -------------------------------------------------------------------------
+from newsweave.plans import load as LD  # noqa: E402
+from newsweave.plans import summaries as SM  # noqa: E402
+
+SUMMARY_TIME = "2025-07-11 09:00"
+RUN_TS = "2025-07-11 09:00:00"
+
+
+def _press_topics(spark, sf_dir, baseline_only=False):
+    """Articles grouped into topics by press (the number in the source name); new = this
+    cycle's articles (doc_id % 7 == 0). ``baseline_only`` gives the previous cycle's view."""
+    a = _articles(spark, sf_dir).withColumns({
+        "cluster_id": F.regexp_extract("press", "[0-9]+", 0).try_cast("int"),
+        "is_new": (F.col("pos") % NEW_EVERY) == 0, "is_third": F.lit(False)})
+    return a.where(~F.col("is_new")) if baseline_only else a
+
+
+def _summarise(arts):
+    prompts = SM.build_prompts(arts, SUMMARY_TIME)
+    parsed = SM.parse_responses(SM.template_responder(prompts, arts), SUMMARY_TIME)
+    matched = SM.match_titles(parsed, arts)
+    return prompts, parsed, matched
+
+
+def q_build_prompts(spark, sf_dir):
+    prompts, _, _ = _summarise(_press_topics(spark, sf_dir))
+    return prompts.select("cluster_id", "n", "prompt")
+
+
+def q_prompt_titles(spark, sf_dir):
+    prompts, _, _ = _summarise(_press_topics(spark, sf_dir))
+    return prompts.select("cluster_id", TX.prompt_title_count("prompt").alias("n_titles"))
+
+
+def q_parse_response(spark, sf_dir):
+    _, parsed, _ = _summarise(_press_topics(spark, sf_dir))
+    return parsed.select("cluster_id", "status", "topic_name", "ai_summary", "summary_time",
+                         F.size("article_titles").alias("n_titles"))
+
+
+def q_match_titles(spark, sf_dir):
+    _, _, matched = _summarise(_press_topics(spark, sf_dir))
+    return matched.select("cluster_id", "title_pos", "pos", "title", "news_link")
+
+
+def q_summaries(spark, sf_dir):
+    _, parsed, _ = _summarise(_press_topics(spark, sf_dir))
+    return SM.summary_rows(parsed)
+
+
+def q_failed_responses(spark, sf_dir):
+    _, parsed, _ = _summarise(_press_topics(spark, sf_dir))
+    return SM.failed_rows(parsed, RUN_TS).select(
+        "cluster_id", F.col("response").endswith(" trailing words").alias("has_trailing_words"))
+
+
+def _load(spark, sf_dir):
+    """Previous cycle (baseline articles) is stored; the current cycle is loaded on top."""
+    _, p_parsed, p_matched = _summarise(_press_topics(spark, sf_dir, baseline_only=True))
+    stored_topic = SM.summary_rows(p_parsed).select(F.col("cluster_id").alias("id"), "topic_name",
+                                                    "ai_summary", "summary_time", "image_url")
+    p_arts = SM.summary_article_rows(p_matched).withColumn("_row", F.lit(0))
+    _, p_news = LD.insert_news(p_arts, SM.summary_rows(p_parsed).withColumn("_row", F.col("cluster_id")),
+                               stored_topic.limit(0), SM.summary_article_rows(p_matched).limit(0)
+                               .withColumnRenamed("cluster_id", "topic_id"))
+    _, parsed, matched = _summarise(_press_topics(spark, sf_dir))
+    summ = SM.summary_rows(parsed).withColumn("_row", F.col("cluster_id"))
+    arts = SM.summary_article_rows(matched.withColumn("_o", F.col("title_pos"))).withColumn("_row", F.lit(0))
+    topics, news = LD.insert_news(arts, summ, stored_topic, p_news)
+    return stored_topic, p_news, topics, news
+
+
+def q_new_topics(spark, sf_dir):
+    _, _, topics, _ = _load(spark, sf_dir)
+    return topics.select("id", "topic_name", "ai_summary", "summary_time")
+
+
+def q_insert_news(spark, sf_dir):
+    _, _, _, news = _load(spark, sf_dir)
+    return news
+
+
+def q_refresh_is_new(spark, sf_dir):
+    _, stored, _, news = _load(spark, sf_dir)
+    allnews = stored.unionByName(news)
+    ref = allnews.agg(F.max(TX.two_format_timestamp("publish_date")).alias("_ref"))
+    from newsweave.operators.relational import attach_row
+    out = LD.refresh_is_new(attach_row(allnews, ref), F.col("_ref"))
+    return out.select("topic_id", "title", "news_link", "is_new")
+
+
+def q_news_count(spark, sf_dir):
+    _, stored, _, news = _load(spark, sf_dir)
+    return stored.unionByName(news).agg(F.count("*").alias("n_news"))
