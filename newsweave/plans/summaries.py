@@ -151,7 +151,8 @@ def match_titles(parsed: DataFrame, articles: DataFrame, cluster_col: str = "clu
     output in the order the answer lists titles (``title_pos``), repeats kept."""
     firsts = (articles.where(F.col(cluster_col) != NOISE)
               .groupBy(F.col(cluster_col).cast("int").alias("cluster_id"), F.col("title").alias("_t"))
-              .agg(F.min_by(F.struct(*[F.col(c) for c in articles.columns]), F.col(order_col)).alias("a")))
+              .agg(F.min_by(F.struct(*[F.col(c) for c in articles.columns if c != cluster_col]),
+                            F.col(order_col)).alias("a")))
     asked = parsed.where(F.col("status") == "ok").select(
         "cluster_id", F.posexplode("article_titles").alias("title_pos", "_t"))
     return asked.join(firsts, ["cluster_id", "_t"]).select("cluster_id", "title_pos", "a.*").drop("_t")
