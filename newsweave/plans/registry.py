@@ -270,3 +270,79 @@ def q_refresh_is_new(spark, sf_dir):
 def q_news_count(spark, sf_dir):
     _, stored, _, news = _load(spark, sf_dir)
     return stored.unionByName(news).agg(F.count("*").alias("n_news"))
+
+
+# --- links, ingest bookkeeping, pages, images --------------------------------------------------
+from newsweave.operators.relational import keep_first  # noqa: E402
+from newsweave.sources import pages as PG  # noqa: E402
+
+
+def _listing(spark, sf_dir):
+    return PG.listing_links(TD.table(spark, sf_dir, "pages"))
+
+
+def _marker(listing):
+    """Where the previous crawl stopped: the first link of the oldest listing page."""
+    last_page = listing.agg(F.max("page_id").alias("_lp"))
+    from newsweave.operators.relational import attach_row
+    oldest = attach_row(listing, last_page).where(F.col("page_id") == F.col("_lp"))
+    return IG.last_seen(oldest)
+
+
+def q_extract_links(spark, sf_dir):
+    return _listing(spark, sf_dir).select("page_id", "idx", "news_link")
+
+
+def q_last_seen(spark, sf_dir):
+    return IG.last_seen(_listing(spark, sf_dir))
+
+
+def q_new_links(spark, sf_dir):
+    lst = _listing(spark, sf_dir)
+    return IG.new_links(lst, _marker(lst)).select("pos", "news_link")
+
+
+def q_merge_links(spark, sf_dir):
+    lst = _listing(spark, sf_dir)
+    new = IG.new_links(lst, _marker(lst))
+    prev = keep_first(lst.select("news_link", "pos"), ["news_link"], ["pos"])
+    return IG.merge_links(new, prev)
+
+
+def q_gated_links(spark, sf_dir):
+    lst = _listing(spark, sf_dir)
+    new = IG.new_links(lst, _marker(lst))
+    return new.agg(F.count("*").alias("n_links"), (F.count("*") >= 3).alias("proceed"))
+
+
+def q_dedup_keep_first(spark, sf_dir):
+    return keep_first(TD.raw_articles(spark, sf_dir), ["news_link"], ["pos"]).select("pos", "news_link")
+
+
+def q_accumulate(spark, sf_dir):
+    a = _articles(spark, sf_dir)
+    new = a.where((F.col("pos") % NEW_EVERY) == 0)
+    total = a.where((F.col("pos") % NEW_EVERY) != 0)
+    return IG.accumulate(new, total).select("pos", "news_link", F.col("_batch").alias("batch"))
+
+
+def q_skip_first(spark, sf_dir):
+    return IG.skip_first(TD.raw_articles(spark, sf_dir), 5).select("pos")
+
+
+def q_sort_articles(spark, sf_dir):
+    return IG.crawl_frame(TD.raw_articles(spark, sf_dir)).select("pos", "news_link")
+
+
+def q_page_fields(spark, sf_dir):
+    return PG.page_fields(TD.table(spark, sf_dir, "pages")).select("page_id", "title", "h1")
+
+
+def q_page_image(spark, sf_dir):
+    return PG.page_image(TD.table(spark, sf_dir, "pages")).select("page_id", "image_url")
+
+
+def q_image_object(spark, sf_dir):
+    p = TD.table(spark, sf_dir, "pages")
+    return p.select("page_id", TX.safe_filename("url").alias("file_name"),
+                    TX.image_object_key("news-images", F.col("page_id"), F.col("url")).alias("object_key"))
