@@ -640,3 +640,68 @@ def image_object_sql() -> str:
     safe = f"regexp_replace({dec}, '[^0-9A-Za-z_.-]', '_', 'g')"
     return f"""SELECT page_id, file_name, 'news-images/cluster_' || CAST(page_id AS VARCHAR) || '/' || file_name AS object_key
 FROM (SELECT page_id, CASE WHEN {safe} = '' THEN sha256(url) ELSE {safe} END AS file_name FROM pages)"""
+
+
+# --- remaining relational items -------------------------------------------------------------------
+def cluster_count_sql() -> str:
+    return with_(RAW_ARTICLES, PREPROCESSED, _summary_ctes("c_", "true")) + \
+        "SELECT count(DISTINCT cluster_id) AS n_clusters FROM c_art WHERE cluster_id <> -1"
+
+
+def quality_metrics_sql() -> str:
+    return with_(RAW_ARTICLES) + f"""
+SELECT count(*) AS n_rows,
+       count(*) FILTER (WHERE news_summary IS NOT NULL AND length({sql_strip('news_summary')}) > 0) AS n_with_summary,
+       count(*) FILTER (WHERE TRY_CAST(datetime_sort AS TIMESTAMP) IS NOT NULL) AS n_sort_parsed,
+       count(*) FILTER (WHERE {sql_korean_dt('publish_date')} IS NOT NULL) AS n_date_parsed
+FROM raw_articles"""
+
+
+def preprocess_alt_sql() -> str:
+    return with_(RAW_ARTICLES) + f"""
+SELECT pos, {sql_clean('title')} AS title, {sql_hanja(sql_fill('news_summary'))} AS news_summary,
+       {sql_korean_dt('publish_date')} AS publish_date,
+       len({sql_tokens(sql_hanja(sql_fill('news_summary')))}) AS n_nouns
+FROM raw_articles"""
+
+
+def retry_prompts_sql() -> str:
+    return with_(RAW_ARTICLES, PREPROCESSED, _summary_ctes("c_", "true")) + \
+        "SELECT cluster_id, n FROM c_big WHERE cluster_id IN (SELECT cluster_id FROM c_parsed WHERE status = 'failed')"
+
+
+_IMG = """
+imgs AS (SELECT news_link, 'https://img.example.com/' || md5(news_link) || '.jpg' AS image_url FROM c_art WHERE pos % 3 = 0),
+chosen AS (
+  SELECT m.cluster_id, arg_min(i.image_url, m.pos) AS url
+  FROM c_matched m JOIN imgs i USING (news_link) WHERE i.image_url IS NOT NULL GROUP BY m.cluster_id
+),
+filled AS (SELECT p.cluster_id, coalesce(c.url, '') AS image_url FROM c_parsed p LEFT JOIN chosen c USING (cluster_id)
+           WHERE p.status = 'ok')"""
+
+
+def cluster_image_sql() -> str:
+    return with_(RAW_ARTICLES, PREPROCESSED, _summary_ctes("c_", "true"), _IMG) + \
+        "SELECT cluster_id, url FROM chosen WHERE cluster_id IN (SELECT cluster_id FROM c_ok)"
+
+
+def fill_image_sql() -> str:
+    return with_(RAW_ARTICLES, PREPROCESSED, _summary_ctes("c_", "true"), _IMG) + "SELECT cluster_id, image_url FROM filled"
+
+
+def image_completeness_sql() -> str:
+    return with_(RAW_ARTICLES, PREPROCESSED, _summary_ctes("c_", "true"), _IMG) + """
+SELECT count(*) AS n, count(*) FILTER (WHERE image_url = '') AS n_empty,
+       (count(*) FILTER (WHERE image_url = '') = 0 AND count(*) > 0) AS complete FROM filled"""
+
+
+def update_topic_images_sql() -> str:
+    return "WITH " + _load_ctes() + "," + _IMG.strip("\n") + """
+SELECT t.id, CASE WHEN f.image_url IS NOT NULL AND f.image_url <> '' THEN f.image_url ELSE '' END AS image_url
+FROM stored_topic t LEFT JOIN filled f ON f.cluster_id = t.id"""
+
+
+def news_with_image_sql() -> str:
+    return "WITH " + _load_ctes() + "," + _IMG.strip("\n") + """
+SELECT n.topic_id, n.title, n.news_link, coalesce(f.image_url, '') AS image_url
+FROM ins_news n LEFT JOIN filled f ON f.cluster_id = n.topic_id"""

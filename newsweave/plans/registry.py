@@ -346,3 +346,75 @@ def q_image_object(spark, sf_dir):
     p = TD.table(spark, sf_dir, "pages")
     return p.select("page_id", TX.safe_filename("url").alias("file_name"),
                     TX.image_object_key("news-images", F.col("page_id"), F.col("url")).alias("object_key"))
+
+
+# --- remaining relational items -------------------------------------------------------------------
+def q_cluster_count(spark, sf_dir):
+    a = _press_topics(spark, sf_dir)
+    return a.where(F.col("cluster_id") != -1).agg(F.count_distinct("cluster_id").alias("n_clusters"))
+
+
+def q_quality_metrics(spark, sf_dir):
+    """A-7: in-flight data-quality counts of one crawl batch."""
+    r = TD.raw_articles(spark, sf_dir)
+    return r.agg(F.count("*").alias("n_rows"),
+                 F.count_if(TX.nonempty_text("news_summary")).alias("n_with_summary"),
+                 F.count_if(TX.lenient_timestamp("datetime_sort").isNotNull()).alias("n_sort_parsed"),
+                 F.count_if(TX.korean_datetime("publish_date").isNotNull()).alias("n_date_parsed"))
+
+
+def q_preprocess_alt(spark, sf_dir):
+    a = IG.preprocess_alt(TD.raw_articles(spark, sf_dir))
+    return a.select("pos", "title", "news_summary", "publish_date", F.size("konlpy_nouns").alias("n_nouns"))
+
+
+def q_retry_prompts(spark, sf_dir):
+    arts = _press_topics(spark, sf_dir)
+    _, parsed, _ = _summarise(arts)
+    return SM.retry_prompts(SM.failed_rows(parsed, RUN_TS), arts, SUMMARY_TIME).select("cluster_id", "n")
+
+
+def _images(arts):
+    """Image found on an article page: every third article has one (derived from its link)."""
+    return arts.where((F.col("pos") % 3) == 0).select(
+        "news_link", F.concat(F.lit("https://img.example.com/"), F.md5("news_link"), F.lit(".jpg")).alias("image_url"))
+
+
+def _summary_with_images(spark, sf_dir):
+    arts = _press_topics(spark, sf_dir)
+    _, parsed, matched = _summarise(arts)
+    summ = SM.summary_rows(parsed)
+    chosen = PG.cluster_image(matched.select("cluster_id", "pos", "news_link"), _images(arts), summ)
+    return arts, matched, summ, LD.fill_images(summ, chosen)
+
+
+def q_cluster_image(spark, sf_dir):
+    arts = _press_topics(spark, sf_dir)
+    _, parsed, matched = _summarise(arts)
+    return PG.cluster_image(matched.select("cluster_id", "pos", "news_link"), _images(arts), SM.summary_rows(parsed))
+
+
+def q_fill_image(spark, sf_dir):
+    _, _, _, filled = _summary_with_images(spark, sf_dir)
+    return filled.select("cluster_id", "image_url")
+
+
+def q_image_completeness(spark, sf_dir):
+    _, _, _, filled = _summary_with_images(spark, sf_dir)
+    return filled.agg(F.count("*").alias("n"), F.count_if(TX.normalise_image_url("image_url") == "").alias("n_empty"),
+                      ((F.count_if(TX.normalise_image_url("image_url") == "") == 0) & (F.count("*") > 0)).alias("complete"))
+
+
+def q_update_topic_images(spark, sf_dir):
+    """J-9: stored topics (previous cycle, no images) take the new summary images."""
+    stored, _, _, _ = _load(spark, sf_dir)
+    _, _, _, filled = _summary_with_images(spark, sf_dir)
+    return LD.topic_image_updates(filled.withColumn("_row", F.col("cluster_id")), stored) \
+        .select("id", "image_url")
+
+
+def q_news_with_image(spark, sf_dir):
+    _, _, _, news = _load(spark, sf_dir)
+    _, _, _, filled = _summary_with_images(spark, sf_dir)
+    return LD.news_with_image(news, filled.withColumn("_row", F.col("cluster_id"))) \
+        .select("topic_id", "title", "news_link", "image_url")
