@@ -225,26 +225,31 @@ def parse_sort_ts_sql() -> str:
 from newsweave.operators import tfidf as _TF  # noqa: E402
 
 
-def tfidf_ctes(src: str, tokens: str = "konlpy_nouns", prefix: str = "") -> str:
+def tfidf_ctes(src: str, tokens: str = "konlpy_nouns", prefix: str = "", group: str | None = None) -> str:
     """CTEs {prefix}vec(pos, gram, tf, df, w) for the rows of CTE ``src``."""
     stop = ", ".join(_q(s) for s in _TF.STOP_WORDS)
     p = prefix
+    gsel = f"{group} AS g, " if group else ""
+    gcol = "g, " if group else ""
+    gpre = "CAST(g AS VARCHAR) || chr(1) || " if group else ""
+    ggrp = f"GROUP BY {group}" if group else ""
+    njoin = f"JOIN {prefix}ndocs nd ON nd.g = tf.g" if group else f", {prefix}ndocs"
     return f"""
 {p}toks AS (
-  SELECT pos, list_filter(regexp_extract_all(lower(array_to_string({tokens}, ' ')), {_q(f'({W}{{2,}})')}, 1),
+  SELECT pos, {gsel}list_filter(regexp_extract_all(lower(array_to_string({tokens}, ' ')), {_q(f'({W}{{2,}})')}, 1),
                           lambda x: NOT list_contains([{stop}], x)) AS t
   FROM {src}
 ),
-{p}idx AS (SELECT pos, t, unnest(generate_series(1, len(t))) AS i FROM {p}toks),
+{p}idx AS (SELECT pos, {gcol}t, unnest(generate_series(1, len(t))) AS i FROM {p}toks),
 {p}grams AS (
-  SELECT pos, array_to_string(list_slice(t, i, i + n - 1), ' ') AS gram
+  SELECT pos, {gcol}{gpre}array_to_string(list_slice(t, i, i + n - 1), ' ') AS gram
   FROM {p}idx, (VALUES (1), (2), (3), (4), (5)) ns(n) WHERE i + n - 1 <= len(t)
 ),
-{p}tf AS (SELECT pos, gram, count(*) AS tf FROM {p}grams GROUP BY ALL),
+{p}tf AS (SELECT pos, {gcol}gram, count(*) AS tf FROM {p}grams GROUP BY ALL),
 {p}dfq AS (SELECT gram, count(*) AS df FROM {p}tf GROUP BY gram HAVING count(*) >= 2),
-{p}ndocs AS (SELECT count(*) AS n FROM {src}),
+{p}ndocs AS (SELECT {gsel}count(*) AS n FROM {src} {ggrp}),
 {p}w0 AS (SELECT tf.pos, tf.gram, tf.tf, d.df, tf.tf * (ln((1 + n) / (1 + d.df)) + 1) AS w
-          FROM {p}tf tf JOIN {p}dfq d USING (gram), {p}ndocs),
+          FROM {p}tf tf JOIN {p}dfq d USING (gram) {njoin}),
 {p}vec AS (SELECT pos, gram, tf, df, w / sqrt(sum(w * w) OVER (PARTITION BY pos)) AS w FROM {p}w0)"""
 
 
@@ -705,3 +710,20 @@ def news_with_image_sql() -> str:
     return "WITH " + _load_ctes() + "," + _IMG.strip("\n") + """
 SELECT n.topic_id, n.title, n.news_link, coalesce(f.image_url, '') AS image_url
 FROM ins_news n LEFT JOIN filled f ON f.cluster_id = n.topic_id"""
+
+
+def second_stage_sql() -> str:
+    return with_(RAW_ARTICLES, PREPROCESSED, _summary_ctes("c_", "true"), """
+s_all AS (SELECT pos, coalesce(cluster_id, -1) AS ec, konlpy_nouns FROM c_art),
+s_big AS (SELECT ec FROM s_all WHERE ec <> -1 GROUP BY ec HAVING count(*) >= 50),
+s_rows AS (SELECT * FROM s_all WHERE ec IN (SELECT ec FROM s_big))""",
+                 tfidf_ctes("s_rows", prefix="s_", group="ec"), neighbour_ctes("s_vec", 0.6, prefix="s_"),
+                 "s_pts AS (SELECT pos, pos IN (SELECT pos FROM s_vec) AS nonzero FROM s_rows)",
+                 dbscan_ctes("s_pts", "s_pairs", 3, prefix="s_"), """
+s_sub AS (SELECT l.pos, r.ec, l.label FROM s_labels l JOIN s_rows r USING (pos) WHERE l.label <> -1),
+s_first AS (SELECT ec, label, min(pos) AS f FROM s_sub GROUP BY ALL),
+s_start AS (SELECT coalesce(max(ec) + 1, 0) AS st FROM s_all WHERE ec <> -1),
+s_ids AS (SELECT ec, label, CAST(st + row_number() OVER (ORDER BY ec, f) - 1 AS INTEGER) AS nid FROM s_first, s_start)""") + """
+SELECT a.pos, a.ec AS embedding_cluster_id, CAST(coalesce(i.nid, a.ec) AS INTEGER) AS tfidf_cluster_id,
+       i.nid IS NOT NULL AS second
+FROM s_all a LEFT JOIN s_sub s USING (pos) LEFT JOIN s_ids i ON i.ec = s.ec AND i.label = s.label"""

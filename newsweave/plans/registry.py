@@ -418,3 +418,10 @@ def q_news_with_image(spark, sf_dir):
     _, _, _, filled = _summary_with_images(spark, sf_dir)
     return LD.news_with_image(news, filled.withColumn("_row", F.col("cluster_id"))) \
         .select("topic_id", "title", "news_link", "image_url")
+
+
+def q_second_stage(spark, sf_dir):
+    """C-4 over the press topics (every topic has >= 50 articles at sf >= 0.01)."""
+    a = _press_topics(spark, sf_dir).withColumn("embedding_cluster_id", F.coalesce("cluster_id", F.lit(-1)))
+    out = ST.second_stage(a)
+    return out.select("pos", "embedding_cluster_id", "tfidf_cluster_id", "second")
