@@ -727,3 +727,25 @@ s_ids AS (SELECT ec, label, CAST(st + row_number() OVER (ORDER BY ec, f) - 1 AS
 SELECT a.pos, a.ec AS embedding_cluster_id, CAST(coalesce(i.nid, a.ec) AS INTEGER) AS tfidf_cluster_id,
        i.nid IS NOT NULL AS second
 FROM s_all a LEFT JOIN s_sub s USING (pos) LEFT JOIN s_ids i ON i.ec = s.ec AND i.label = s.label"""
+
+
+# --- id bookkeeping over the planted-vector clusters -------------------------------------------------
+def noise_union_sql() -> str:
+    return with_(PLANTED, CENTROIDS, ASSIGN) + """
+SELECT 0 AS side, pos FROM baseline_vec WHERE tfidf_cluster_id = -1
+UNION ALL SELECT 1, pos FROM assigned WHERE assigned_tfidf_cluster = -1"""
+
+
+def id_seed_sql() -> str:
+    return with_(PLANTED) + """
+SELECT greatest(coalesce(max(tfidf_cluster_id), 10), 10) AS seed_max FROM baseline_vec WHERE tfidf_cluster_id <> -1"""
+
+
+def cluster_id_range_sql() -> str:
+    return with_(PLANTED, CENTROIDS, ASSIGN) + """,
+seed AS (SELECT greatest(coalesce(max(tfidf_cluster_id), 10), 10) + 1 AS st FROM baseline_vec WHERE tfidf_cluster_id <> -1),
+grp_a AS (SELECT DISTINCT assigned_tfidf_cluster AS l FROM assigned WHERE assigned_tfidf_cluster <> -1),
+ids AS (SELECT l, st + row_number() OVER (ORDER BY l) - 1 AS cid FROM grp_a, seed),
+allrows AS (SELECT tfidf_cluster_id AS l FROM baseline_vec UNION ALL SELECT assigned_tfidf_cluster FROM assigned)
+SELECT CAST(min(cid) AS INTEGER) AS min_id, CAST(max(cid) AS INTEGER) AS max_id, count(*) AS n_rows
+FROM allrows JOIN ids USING (l)"""

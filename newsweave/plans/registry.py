@@ -425,3 +425,34 @@ def q_second_stage(spark, sf_dir):
     a = _press_topics(spark, sf_dir).withColumn("embedding_cluster_id", F.coalesce("cluster_id", F.lit(-1)))
     out = ST.second_stage(a)
     return out.select("pos", "embedding_cluster_id", "tfidf_cluster_id", "second")
+
+
+# --- id bookkeeping over the planted-vector clusters -------------------------------------------------
+def _planted_final(spark, sf_dir):
+    baseline, a = _assigned(spark, sf_dir)
+    b = baseline.withColumn("is_third", F.lit(False))
+    n = a.withColumn("is_third", F.lit(False))
+    return ST.merge_clusters(b, n)
+
+
+def q_noise_union(spark, sf_dir):
+    """U-3: noise of both sides pooled, baseline first (side 0), then new (side 1)."""
+    baseline, a = _assigned(spark, sf_dir)
+    return (baseline.where(F.col("tfidf_cluster_id") == -1).select(F.lit(0).alias("side"), "pos")
+            .unionByName(a.where(F.col("assigned_tfidf_cluster") == -1).select(F.lit(1).alias("side"), "pos")))
+
+
+def q_id_seed(spark, sf_dir):
+    """A-5: max over the baseline's non-noise, non-third labels and the stored max id (10)."""
+    f = _planted_final(spark, sf_dir)
+    m = f.where(~F.col("is_new") & ~F.col("is_third") & (F.col("tfidf_cluster_id") != -1)) \
+        .agg(F.max("tfidf_cluster_id").alias("m"))
+    return m.select(F.greatest(F.coalesce("m", F.lit(10)), F.lit(10)).alias("seed_max"))
+
+
+def q_cluster_id_range(spark, sf_dir):
+    """A-6 after C-7 (stored max id 10): range of the issued ids."""
+    out = ST.assign_cluster_ids(_planted_final(spark, sf_dir), db_max_id=10)
+    return out.where(F.col("cluster_id") != -1).agg(F.min("cluster_id").alias("min_id"),
+                                                   F.max("cluster_id").alias("max_id"),
+                                                   F.count("*").alias("n_rows"))
