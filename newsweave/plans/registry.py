@@ -195,7 +195,7 @@ def _press_topics(spark, sf_dir, baseline_only=False):
 
 def _summarise(arts):
     prompts = SM.build_prompts(arts, SUMMARY_TIME)
-    parsed = SM.parse_responses(SM.template_responder(prompts, arts), SUMMARY_TIME)
+    parsed = SM.parse_responses(SM.template_responder(prompts), SUMMARY_TIME)
     matched = SM.match_titles(parsed, arts)
     return prompts, parsed, matched
 

@@ -82,7 +82,8 @@ def build_prompts(df: DataFrame, summary_time: str, cluster_col: str = "cluster_
         F.col(cluster_col).cast("int").alias("cluster_id"), F.col(order_col).alias("_o"),
         F.struct(F.col(order_col).alias("o"),
                  _fmt(ARTICLE_LAYOUT, n=F.col(order_col) + 1, title=F.col("title"),
-                      news_summary=F.col("news_summary"), press=F.col("press")).alias("t")).alias("d"))
+                      news_summary=F.col("news_summary"), press=F.col("press")).alias("t"),
+                 F.col("title").alias("title")).alias("d"))
     parted = docs.join(big, "cluster_id").withColumn(
         "part", F.pmod(F.xxhash64("_o"), F.col("n_parts")).cast("int"))
     grouped = (parted.groupBy("cluster_id", "part")
@@ -90,6 +91,7 @@ def build_prompts(df: DataFrame, summary_time: str, cluster_col: str = "cluster_
                     F.first("n_parts").alias("n_parts")))
     body = F.array_join(F.transform("ds", lambda d: d["t"]), "\n\n")
     return grouped.select("cluster_id", "part", "n_parts", "n",
+                          F.transform("ds", lambda d: d["title"]).alias("titles"),
                           _fmt(PROMPT_TEMPLATE, articles=body, cluster_id=F.col("cluster_id"),
                                summary_time=F.lit(summary_time)).alias("prompt"))
 
@@ -196,28 +198,23 @@ def retry_prompts(failed: DataFrame, df: DataFrame, summary_time: str, cluster_c
     return build_prompts(df.join(ids, cluster_col, "left_semi"), summary_time, cluster_col)
 
 
-def template_responder(prompts: DataFrame, articles: DataFrame, cluster_col: str = "cluster_id",
-                       order_col: str = "pos") -> DataFrame:
-    """Deterministic stand-in for the LLM, built from the cluster's own rows: the titles
-    are listed newest position first; clusters whose id % 5 == 1 answer inside a ```json
-    block, id % 5 == 2 with trailing words (a parse failure), id % 5 == 3 with the failure
-    mark (skipped). Used by tests and registered queries; production passes its own."""
-    titles = (articles.where(F.col(cluster_col) != NOISE)
-              .groupBy(F.col(cluster_col).cast("int").alias("cluster_id"))
-              .agg(F.sort_array(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col("title").alias("t"))),
-                                asc=False).alias("ts")))
-    p = prompts.select("cluster_id").join(titles, "cluster_id")
+def template_responder(prompts: DataFrame) -> DataFrame:
+    """Deterministic stand-in for the LLM, built from each prompt part's own articles: the
+    titles are listed newest position first; clusters whose id % 5 == 1 answer inside a
+    ```json block, id % 5 == 2 with trailing words (a parse failure), id % 5 == 3 with the
+    failure mark (skipped). Used by tests and registered queries; production passes its own."""
+    titles = F.reverse(F.col("titles"))
     obj = F.to_json(F.struct(
         F.col("cluster_id"), F.concat(F.lit("topic "), F.col("cluster_id").cast("string")).alias("topic_name"),
-        F.concat(F.lit("summary of "), F.size("ts").cast("string"), F.lit(" articles")).alias("ai_summary"),
+        F.concat(F.lit("summary of "), F.size("titles").cast("string"), F.lit(" articles")).alias("ai_summary"),
         F.lit("2025-07-11 09:00").alias("summary_time"),
-        F.transform("ts", lambda x: x["t"]).alias("article_titles")))
+        titles.alias("article_titles")))
     k = F.col("cluster_id") % 5
     resp = (F.when(k == 1, F.concat(F.lit("Here it is:\n```json\n"), obj, F.lit("\n```\nthanks")))
             .when(k == 2, F.concat(obj, F.lit(" trailing words")))
             .when(k == 3, F.lit(FAILURE_MARK + ": 500]"))
             .otherwise(obj))
-    return p.select(F.col("cluster_id").cast("long"), resp.alias("response"))
+    return prompts.select(F.col("cluster_id").cast("long"), resp.alias("response"))
 
 
 def is_blank(col):
