@@ -238,12 +238,14 @@ def _load(spark, sf_dir):
     stored_topic = SM.summary_rows(p_parsed).select(F.col("cluster_id").alias("id"), "topic_name",
                                                     "ai_summary", "summary_time", "image_url")
     p_arts = SM.summary_article_rows(p_matched).withColumn("_row", F.lit(0))
+    # first load: nothing stored yet
+    no_topic = spark.createDataFrame([], "id int, topic_name string, ai_summary string, summary_time string")
+    no_news = spark.createDataFrame([], "topic_id int, title string, news_link string")
     _, p_news = LD.insert_news(p_arts, SM.summary_rows(p_parsed).withColumn("_row", F.col("cluster_id")),
-                               stored_topic.limit(0), SM.summary_article_rows(p_matched).limit(0)
-                               .withColumnRenamed("cluster_id", "topic_id"))
+                               no_topic, no_news)
     _, parsed, matched = _summarise(_press_topics(spark, sf_dir))
     summ = SM.summary_rows(parsed).withColumn("_row", F.col("cluster_id"))
-    arts = SM.summary_article_rows(matched.withColumn("_o", F.col("title_pos"))).withColumn("_row", F.lit(0))
+    arts = SM.summary_article_rows(matched).withColumn("_row", F.lit(0))
     topics, news = LD.insert_news(arts, summ, stored_topic, p_news)
     return stored_topic, p_news, topics, news
 
@@ -262,7 +264,6 @@ def q_refresh_is_new(spark, sf_dir):
     _, stored, _, news = _load(spark, sf_dir)
     allnews = stored.unionByName(news)
     ref = allnews.agg(F.max(TX.two_format_timestamp("publish_date")).alias("_ref"))
-    from newsweave.operators.relational import attach_row
     out = LD.refresh_is_new(attach_row(allnews, ref), F.col("_ref"))
     return out.select("topic_id", "title", "news_link", "is_new")
 
@@ -273,7 +274,7 @@ def q_news_count(spark, sf_dir):
 
 
 # --- links, ingest bookkeeping, pages, images --------------------------------------------------
-from newsweave.operators.relational import keep_first  # noqa: E402
+from newsweave.operators.relational import attach_row, keep_first  # noqa: E402
 from newsweave.sources import pages as PG  # noqa: E402
 
 
@@ -284,7 +285,6 @@ def _listing(spark, sf_dir):
 def _marker(listing):
     """Where the previous crawl stopped: the first link of the oldest listing page."""
     last_page = listing.agg(F.max("page_id").alias("_lp"))
-    from newsweave.operators.relational import attach_row
     oldest = attach_row(listing, last_page).where(F.col("page_id") == F.col("_lp"))
     return IG.last_seen(oldest)
 
