@@ -93,3 +93,10 @@ def refresh_is_new(news: DataFrame, ref_time, hours: int = 24) -> DataFrame:
     ref = ref_time if not isinstance(ref_time, str) else F.lit(ref_time).cast("timestamp_ntz")
     cut = ref - F.make_dt_interval(F.lit(0), F.lit(hours))
     return news.withColumn("is_new", F.when(ts >= cut, F.lit(1)).otherwise(F.lit(0)))
+
+
+def complete_summary(articles: DataFrame, summary: DataFrame) -> DataFrame:
+    """J-7: every cluster that has articles, with its summary row when there is one
+    (image_url null when absent)."""
+    ids = articles.select(F.col("cluster_id").cast("int").alias("cluster_id")).distinct()
+    return ids.join(summary, "cluster_id", "left")

@@ -749,3 +749,21 @@ ids AS (SELECT l, st + row_number() OVER (ORDER BY l) - 1 AS cid FROM grp_a, see
 allrows AS (SELECT tfidf_cluster_id AS l FROM baseline_vec UNION ALL SELECT assigned_tfidf_cluster FROM assigned)
 SELECT CAST(min(cid) AS INTEGER) AS min_id, CAST(max(cid) AS INTEGER) AS max_id, count(*) AS n_rows
 FROM allrows JOIN ids USING (l)"""
+
+
+def complete_summary_sql() -> str:
+    return with_(RAW_ARTICLES, PREPROCESSED, _summary_ctes("c_", "true")) + """
+SELECT i.cluster_id, p.topic_name, CASE WHEN p.cluster_id IS NULL THEN NULL ELSE '' END AS image_url
+FROM (SELECT DISTINCT cluster_id FROM c_art WHERE cluster_id IS NOT NULL) i
+LEFT JOIN (SELECT * FROM c_parsed WHERE status = 'ok') p USING (cluster_id)"""
+
+
+def target_rows_sql() -> str:
+    return "WITH " + cycle_ctes() + """,
+pre AS (SELECT DISTINCT tfidf_cluster_id AS l FROM clustered WHERE NOT is_new AND NOT is_third AND tfidf_cluster_id <> -1),
+third AS (SELECT DISTINCT tfidf_cluster_id AS l FROM clustered WHERE is_third AND tfidf_cluster_id <> -1),
+joined AS (SELECT DISTINCT tfidf_cluster_id AS l FROM clustered WHERE is_new AND NOT is_third AND tfidf_cluster_id <> -1
+           AND tfidf_cluster_id IN (SELECT l FROM pre)),
+labs AS (SELECT l FROM third WHERE l NOT IN (SELECT l FROM pre) UNION SELECT l FROM joined),
+tg AS (SELECT DISTINCT cluster_id FROM clustered WHERE tfidf_cluster_id IN (SELECT l FROM labs) AND cluster_id <> -1)
+SELECT is_new, pos, cluster_id FROM clustered WHERE cluster_id IN (SELECT cluster_id FROM tg)"""

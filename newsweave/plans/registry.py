@@ -456,3 +456,16 @@ def q_cluster_id_range(spark, sf_dir):
     return out.where(F.col("cluster_id") != -1).agg(F.min("cluster_id").alias("min_id"),
                                                    F.max("cluster_id").alias("max_id"),
                                                    F.count("*").alias("n_rows"))
+
+
+def q_complete_summary(spark, sf_dir):
+    _, parsed, matched = _summarise(_press_topics(spark, sf_dir))
+    summ = SM.summary_rows(parsed)
+    # every press topic's articles, with the summary of those whose answer parsed
+    return LD.complete_summary(_press_topics(spark, sf_dir).where(F.col("cluster_id").isNotNull()), summ) \
+        .select("cluster_id", "topic_name", "image_url")
+
+
+def q_target_rows(spark, sf_dir):
+    final = _cycle(spark, sf_dir)
+    return ST.target_rows(final, ST.target_clusters(final)).select("is_new", "pos", "cluster_id")
