@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsweave import schemas
 from newsweave.plans.ingest import preprocess
@@ -43,7 +44,9 @@ def article_stream(spark: SparkSession, source_dir: str, table_path: str, checkp
     """Start the stream; ``on_new(df, batch_id)`` receives the appended rows of a batch.
     ``trigger`` defaults to availableNow (tests); production passes
     ``{"processingTime": "5 minutes"}``."""
-    raw = (spark.readStream.schema(schemas.RAW_ARTICLE.add("pos", "long")).parquet(source_dir))
+    # a new schema object: StructType.add would change the shared one in place
+    schema = T.StructType(list(schemas.RAW_ARTICLE.fields) + [T.StructField("pos", T.LongType())])
+    raw = spark.readStream.schema(schema).parquet(source_dir)
     # watermarks need TIMESTAMP (not NTZ); undated rows take their arrival time
     pre = (preprocess(raw)
            .withColumn("_event_ts", F.coalesce(F.col("publish_date").cast("timestamp"), F.current_timestamp()))
