@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, substring_dedup, token_counts
+from . import bpe, ngram_join, packing, substring_dedup, token_counts
 from .common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -26,6 +26,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.limits(token_counts.length_histogram(counts))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), WORD_TOKENIZER, END_ID)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
