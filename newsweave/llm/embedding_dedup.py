@@ -73,29 +73,20 @@ def _matrix(col: pa.Array) -> np.ndarray:
     return flat.reshape(len(col), -1)
 
 
-_HASHED = "rep long, times long, vec array<double>, codes array<long>, tab int, key long, home boolean"
-
-
-def _hashed(reps: DataFrame, tables: int, width: int, probes: int, seed: int) -> DataFrame:
-    """One row per representative, table and bucket; codes holds home and visits of all tables."""
+def _coded(reps: DataFrame, tables: int, width: int, probes: int, seed: int) -> DataFrame:
+    """``reps`` (rep, times, vec) with codes: home and visited bucket keys of all tables."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 b = whole.slice(at, 1024)
                 x = _unit(_matrix(b.column(2)))
+                if (2 << max(1, x.shape[1] - 1).bit_length()) ** width >= 1 << 31:
+                    raise ValueError("bucket keys exceed 32 bits: choose a smaller width")
                 per = [keys(x, t, width, probes, seed) for t in range(tables)]
-                codes = np.concatenate([np.concatenate((h[:, None], v), 1) for h, v in per], 1)
-                m = probes + 1
-                n, cols = codes.shape
-                row = np.repeat(np.arange(n), cols)
-                col = np.tile(np.arange(cols), n)
-                list_of = lambda a, kind: pa.ListArray.from_arrays(pa.array(np.arange(0, a.size + 1, a.shape[1], np.int32)), pa.array(a.ravel(), kind))
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([
-                    b.column(0).take(take), b.column(1).take(take), list_of(x, pa.float64()).take(take), list_of(codes, pa.int64()).take(take),
-                    pa.array((col // m).astype(np.int32)), pa.array(codes.ravel()), pa.array(col % m == 0)],
-                    ["rep", "times", "vec", "codes", "tab", "key", "home"])
-    return reps.mapInArrow(run, _HASHED)
+                codes = np.concatenate([np.concatenate((h[:, None], v), 1) for h, v in per], 1).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, codes.size + 1, codes.shape[1], np.int32)), pa.array(codes.ravel()))
+                yield pa.RecordBatch.from_arrays([*b.columns, lists], ["rep", "times", "vec", "codes"])
+    return reps.mapInArrow(run, f"rep long, times long, vec {reps.schema['vec'].dataType.simpleString()}, codes array<int>")
 
 
 def _forest(u: np.ndarray, v: np.ndarray) -> list[tuple[int, int]]:
@@ -143,7 +134,12 @@ def _compare(g: dict[str, np.ndarray], tab: int, left: int, right: int, probes:
     return (np.concatenate(found[0]), np.concatenate(found[1])) if found[0] else (np.empty(0, int), np.empty(0, int))
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.9, tables: int = 14, width: int = 2, probes: int = 8, block: int = 1024, seed: int = 7,
+def _floats(vectors: DataFrame, col: str):
+    kind = vectors.schema[col].dataType.simpleString()
+    return vectors[col] if kind in ("array<float>", "array<double>") else vectors[col].cast("array<double>")
+
+
+def near_duplicates(vectors: DataFrame, least: float = 0.9, tables: int = 8, width: int = 2, probes: int = 4, block: int = 1024, seed: int = 7,
                     id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors``.
 
@@ -153,7 +149,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9, tables: int = 14, wi
     with a null id are returned with null component and kept and link with nothing. Other
     columns are not read.
     """
-    v = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vec_col].cast("array<double>").alias("vec"))
+    v = vectors.select(vectors[id_col].cast("long").alias("vec_id"), _floats(vectors, vec_col).alias("vec"))
     good = (F.col("vec_id").isNotNull() & (F.size("vec") > 0)
             & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vec", lambda x: x != 0))
     v = v.withColumn("good", F.coalesce(good, F.lit(False)))
@@ -162,14 +158,18 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9, tables: int = 14, wi
     parts = []
     for (dim,) in sorted(groups.select("dim").distinct().limit(64).collect()):
         reps = groups.where(F.col("dim") == dim).select("rep", "times", "vec")
-        hashed = _hashed(reps, tables, width, probes, seed)
-        sizes = hashed.groupBy("tab", "key").agg(F.count("*").alias("n"), F.sum(F.col("home").cast("long")).alias("at_home")).where("n > 1 and at_home > 0")
-        dealt = (hashed.join(sizes, ["tab", "key"]).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+        coded = cut(_coded(reps, tables, width, probes, seed))
+        m = probes + 1
+        narrow = (coded.select("rep", F.posexplode("codes").alias("slot", "key"))
+                  .select("rep", F.floor(F.col("slot") / m).cast("int").alias("tab"), "key", (F.col("slot") % m == 0).alias("home")))
+        sizes = (narrow.groupBy("tab", "key").agg(F.count("*").alias("n"), F.sum(F.col("home").cast("long")).alias("at_home"))
+                 .where("n > 1 and at_home > 0").select("tab", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
+        dealt = (narrow.join(sizes, ["tab", "key"])
                  .withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                  .withColumn("lo", F.least("blk", "other")).withColumn("hi", F.greatest("blk", "other")))
         order = ["tab", "key", "lo", "hi"]
-        dealt = dealt.select(*order, "blk", "rep", "times", "home", "vec", "codes").repartition(*order).sortWithinPartitions(*order)
+        dealt = dealt.join(coded, "rep").select(*order, "blk", "rep", "times", "home", "vec", "codes").repartition(*order).sortWithinPartitions(*order)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[pa.RecordBatch] = []
@@ -178,7 +178,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9, tables: int = 14, wi
                 """Link counts (v null) and forest edges (n null) of whole block pairs."""
                 t = pa.Table.from_batches(parts).combine_chunks()
                 num = {c: t.column(c).to_numpy() for c in ("tab", "key", "lo", "hi", "blk", "rep", "times", "home")}
-                num["vec"], num["codes"] = (t.column(c).combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1) for c in ("vec", "codes"))
+                num["vec"] = _unit(_matrix(t.column("vec").combine_chunks()))
+                num["codes"] = t.column("codes").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
                 group = np.stack([num[c] for c in order], 1)
                 edge = np.flatnonzero((group[1:] != group[:-1]).any(1)) + 1
                 us, vs = [], []
