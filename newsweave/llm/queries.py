@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, ngram_join, packing, substring_dedup, token_counts
+from . import bpe, embedding_dedup, language_id, ngram_join, packing, substring_dedup, token_counts
 from .common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -36,6 +36,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+    content = language_id.train(docs.where(~language_id.held_out()))
+    found = language_id.classify(docs.drop("lang"), content)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9)
 
