@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, language_id, ngram_join, packing, substring_dedup, token_counts
+from . import bpe, embedding_dedup, language_id, line_quality, ngram_join, packing, substring_dedup, token_counts
 from .common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -47,6 +47,13 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9)
 
 
+def op8_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
+    model = line_quality.train(docs.join(labels, "doc_id").where(~language_id.held_out()))
+    return line_quality.classify(docs, model).select("doc_id", language_id.held_out().alias("held_out"), "score", "predicted")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"), width=35)
 
