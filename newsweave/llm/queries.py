@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, language_id, line_quality, ngram_join, packing, quality_rules, substring_dedup, token_counts
+from . import bpe, embedding_dedup, html_text, language_id, line_quality, ngram_join, packing, quality_rules, substring_dedup, token_counts
 from .common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -64,6 +64,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"), width=35)
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
