@@ -23,6 +23,7 @@ documents are connected.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -82,7 +83,7 @@ def _longs(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _signature(s: np.ndarray) -> int:
-    return int(np.bitwise_xor.reduce(mix(s * _A)) if len(s) else 0)
+    return int(np.bitwise_xor.reduce(mix(s * _A)).view(np.int64) if len(s) else 0)
 
 
 def _prefixes(src: DataFrame, k: int, percent: int, sketch: np.ndarray) -> DataFrame:
@@ -100,21 +101,28 @@ def _prefixes(src: DataFrame, k: int, percent: int, sketch: np.ndarray) -> DataF
                 keep = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
                 weight = np.min([freq[at] for at in _slots(s)], axis=0) if len(s) else s
                 pre.append(s[np.lexsort((s, weight))[:keep]] if keep else s)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(np.array(sig, np.uint64).view(np.int64)), _longs(pre)],
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), _longs(pre)],
                                              ["doc_id", "n", "sig", "prefix"])
     return src.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, sig long, prefix array<long>")
 
 
 def _sets(src: DataFrame, k: int) -> DataFrame:
-    """(rep, n, sig, tokens, low1, low2): full set and two min-hashes."""
+    """(rep, n, tokens, low1, low2): full set and two min-hashes, for rows (rep, sig, text)
+    whose set has that hash; once for a row that is repeated (copies of a row are in the same
+    partition, which the join on the id has dealt out)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for b in batches:
-            sets = [shingles(t, k) for t in b.column(1).to_pylist()]
+            reps, sets = [], []
+            for rep, sig, text in zip(*(c.to_pylist() for c in b.columns)):
+                if rep not in seen and _signature(s := shingles(text, k)) == sig:
+                    seen.add(rep)
+                    reps.append(rep)
+                    sets.append(s)
             low = [pa.array(np.array([mix(s ^ seed).min() for s in sets], np.uint64).view(np.int64)) for seed in _SEEDS]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                                              pa.array(np.array([_signature(s) for s in sets], np.uint64).view(np.int64)), _longs(sets), *low],
-                                             ["rep", "n", "sig", "tokens", "low1", "low2"])
-    return src.mapInArrow(run, "rep long, n long, sig long, tokens array<long>, low1 long, low2 long")
+            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), _longs(sets), *low],
+                                             ["rep", "n", "tokens", "low1", "low2"])
+    return src.mapInArrow(run, "rep long, n long, tokens array<long>, low1 long, low2 long")
 
 
 def _linked(a: str, b: str, percent: int):
@@ -136,16 +144,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, leaders: int
     rows = cut(_prefixes(src, k, percent, _sketch(src, k)))
     reps = rows.where("n > 0 and doc_id is not null").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"))
 
-    # 1. candidates: prefix shingles that several sets have
-    distinct = (rows.join(reps.select(F.col("rep").alias("doc_id"), F.col("sig").alias("s"), F.col("n").alias("m")), "doc_id")
-                .where("sig = s and n = m").dropDuplicates(["doc_id"]))
-    entries = distinct.select(F.col("doc_id").alias("rep"), "n", F.explode("prefix").alias("token")).repartition("token")
-    often = entries.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    entries = cut(entries.join(often, "token"))
-    wanted = entries.select(F.col("rep").alias("doc_id")).distinct()
-    texts = src.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text")
-    sets = _sets(texts, k)
-    sets = cut(sets.join(reps, ["rep", "sig", "n"], "left_semi").drop("sig").dropDuplicates(["rep"]))
+    # 1. candidates: prefix shingles that sets of similar size share
+    entries = rows.where("n > 0 and doc_id is not null").select("sig", "n", F.explode("prefix").alias("token")).repartition("token")
+    often = entries.groupBy("token").agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a <> b").select("token")
+    entries = entries.join(often, "token").distinct()
+    # sets that can link lie in the same or in neighbouring size bands
+    band = F.floor(F.log(F.col("n").cast("double")) / (1.0001 * math.log(100 / percent)))
+    banded = cut(entries.select("*", F.explode(F.array(band, band + 1)).alias("band")))
+    alike = banded.groupBy("token", "band").agg(F.count("*").alias("c")).where("c > 1").select("token", "band")
+    entries = banded.join(alike, ["token", "band"]).select("token", "sig", "n").distinct()
+    entries = cut(entries.join(reps, ["sig", "n"]).select("rep", "sig", "n", "token"))
+    wanted = entries.select("rep", "sig").distinct()
+    texts = src.join(wanted, F.col("doc_id") == F.col("rep")).select("rep", "sig", "text")
+    sets = cut(_sets(texts, k))
 
     # 2. groups of similar documents
     links = None
@@ -165,7 +176,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, leaders: int
     grouped = cut(grouped.join(size, "g"))
 
     # 3. token-group matrix; the query comes from the smaller of two groups
-    e = entries.join(grouped, "rep")
+    e = entries.drop("sig").join(grouped, "rep")
     matrix = e.groupBy("token", "g", "members").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"))
     met = (e.alias("q").join(matrix.alias("m"), F.col("q.token") == F.col("m.token"))
            .where((F.col("q.g") != F.col("m.g"))

@@ -15,6 +15,7 @@ the remainder as powers of two, which need no padding. So a group is packed with
 from __future__ import annotations
 
 import heapq
+import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,6 +30,11 @@ from .common import BoundedCache
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+#: The file's split pattern for lower-case printable ASCII (fixed by the tokenizer).
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+_PLAIN = re.compile(rb"[!-~]+")
+
+
 class WordEncoder:
     """Ids of a tokenizer that drops white space: words between ASCII blanks are encoded
     separately and memoised (its pattern never matches across white space)."""
@@ -38,12 +44,20 @@ class WordEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self.end = np.array([end_id], "<u4").tobytes()
+        self.model = self.tok.model
+        self.parts = BoundedCache(self._part, 400_000)
         self.memo = BoundedCache(self._one, 800_000)
 
     def _one(self, word: bytes) -> bytes:
+        if _PLAIN.fullmatch(word):  # printable ASCII: its parts go to the merge model directly
+            return b"".join(map(self.parts.__getitem__, _PARTS.findall(word.lower().decode())))
         ids = self.tok.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _part(self, part: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(part)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def encode(self, text: str | None) -> bytes:
         words = text.encode("utf-8", "surrogatepass").split() if text else []
         return b"".join(map(self.memo.__getitem__, words)) + self.end
