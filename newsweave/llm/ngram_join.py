@@ -7,15 +7,16 @@ representative from the start, so a group of copies costs one row. Two sets link
 The order puts rare shingles first: frequencies come from a count sketch of fixed size over
 all documents; it only steers cost, never the result.
 
-1. Prefix shingles of all representatives; those that occur in two or more sets give the
-   candidates. Full sets are built for candidates only.
-2. Partition similar documents into groups: representatives that share a min-hash are
-   compared with a few leaders of their class; links found here join documents into groups.
+1. Prefix shingles of all representatives; only those that sets of similar size share go on.
+2. Partition similar documents into groups: representatives that share a min-hash (of two)
+   are compared with a few leaders of their class; links found here join documents into groups.
    A class of m near copies takes m times ``leaders`` comparisons, not m squared.
-3. Token-group matrix: one row per (shingle, group) with the range of set sizes. A document
-   (query) meets foreign groups through its prefix; the group's token union bounds its overlap
-   with any member, and only groups whose bound reaches percent of the query are opened.
-4. Members of opened groups that share a prefix shingle are verified on the full sets.
+3. Token-group matrix: one row per (shingle, group), the union of the members' prefixes. A
+   document (query) meets foreign groups through it; the number of its shingles in the
+   group's row bounds its overlap with any member (what two prefixes do not show lies in the
+   rest of one set), and only groups whose bound can reach the threshold are opened.
+4. Members of opened groups are bounded in the same way and verified on the full sets, which
+   are built from the texts for these documents only.
 
 Links inside a group that is already connected are not looked for: they cannot change which
 documents are connected.
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, cut, mix, word_hashes, words_of
@@ -86,43 +87,104 @@ def _signature(s: np.ndarray) -> int:
     return int(np.bitwise_xor.reduce(mix(s * _A)).view(np.int64) if len(s) else 0)
 
 
+def _keep(n: int, percent: int) -> int:
+    """Prefix length of a set of n shingles."""
+    return n - -(-percent * n // 100) + 1 if n else 0
+
+
 def _prefixes(src: DataFrame, k: int, percent: int, sketch: np.ndarray) -> DataFrame:
-    """(doc_id, n, sig, prefix): set size, hash of the set, rare-first prefix."""
+    """(doc_id, n, sig, low, prefix): set size, hash of the set, min-hashes, rare-first prefix."""
     shared = src.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         freq = shared.value
         for b in batches:
-            n, sig, pre = [], [], []
+            n, sig, low, pre = [], [], [], []
             for t in b.column(1).to_pylist():
                 s = shingles(t, k)
                 n.append(len(s))
                 sig.append(_signature(s))
-                keep = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
+                low.append([int(mix(s ^ seed).min().view(np.int64)) for seed in _SEEDS] if len(s) else None)
                 weight = np.min([freq[at] for at in _slots(s)], axis=0) if len(s) else s
-                pre.append(s[np.lexsort((s, weight))[:keep]] if keep else s)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), _longs(pre)],
-                                             ["doc_id", "n", "sig", "prefix"])
-    return src.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, sig long, prefix array<long>")
+                pre.append(s[np.lexsort((s, weight))[:_keep(len(s), percent)]])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(low, pa.list_(pa.int64())), _longs(pre)],
+                                             ["doc_id", "n", "sig", "low", "prefix"])
+    return src.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, sig long, low array<long>, prefix array<long>")
+
+
+#: Bits of the id filter (2 MB, fixed).
+_BITS = 1 << 24
 
 
-def _sets(src: DataFrame, k: int) -> DataFrame:
-    """(rep, n, tokens, low1, low2): full set and two min-hashes, for rows (rep, sig, text)
-    whose set has that hash; once for a row that is repeated (copies of a row are in the same
-    partition, which the join on the id has dealt out)."""
+def _texts(src: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Texts of ``wanted`` (rep, ...). A bit filter of fixed size keeps most other texts out of
+    the shuffle; what it lets through wrongly, the join removes."""
+    slot = F.xxhash64("id").bitwiseAND(_BITS - 1)
+    bits = (wanted.select(F.col("rep").alias("id")).select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, CAST(s & 63 AS INT))")).alias("b")).toPandas())
+    table = np.zeros(_BITS >> 6, np.int64)
+    table[bits["w"].to_numpy()] = bits["b"].to_numpy()
+    shared = src.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            s = b.column(2).to_numpy()
+            ok = (shared.value[s >> 6] >> (s & 63)) & 1
+            yield b.select(["doc_id", "text"]).filter(pa.array(ok.astype(bool)))
+    some = src.where("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id").bitwiseAND(_BITS - 1).alias("slot"))
+    some = some.mapInArrow(run, "doc_id long, text string")
+    return some.join(wanted, some["doc_id"] == wanted["rep"]).drop("doc_id")
+
+
+def _sets(texts: DataFrame, k: int) -> DataFrame:
+    """(rep, n, low, part, tokens) for rows (text, rep, sig, low, part) whose set has the hash
+    ``sig``; once a min-hash for a row that is repeated (copies of a row are in the same partition, which
+    the join on the id has dealt out)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[tuple[int, int]] = set()
         for b in batches:
-            reps, sets = [], []
-            for rep, sig, text in zip(*(c.to_pylist() for c in b.columns)):
-                if rep not in seen and _signature(s := shingles(text, k)) == sig:
-                    seen.add(rep)
-                    reps.append(rep)
+            rows, sets = [], []
+            for i, (text, rep, sig, low) in enumerate(zip(*(b.column(c).to_pylist() for c in ("text", "rep", "sig", "low")))):
+                if (rep, low) not in seen and _signature(s := shingles(text, k)) == sig:
+                    seen.add((rep, low))
+                    rows.append(i)
                     sets.append(s)
-            low = [pa.array(np.array([mix(s ^ seed).min() for s in sets], np.uint64).view(np.int64)) for seed in _SEEDS]
-            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), _longs(sets), *low],
-                                             ["rep", "n", "tokens", "low1", "low2"])
-    return src.mapInArrow(run, "rep long, n long, tokens array<long>, low1 long, low2 long")
+            at = pa.array(rows, pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column("rep").take(at), pa.array([len(s) for s in sets], pa.int64()),
+                                              b.column("low").take(at), b.column("part").take(at), _longs(sets)], ["rep", "n", "low", "part", "tokens"])
+    return texts.select("text", "rep", "sig", "low", "part").mapInArrow(run, "rep long, n long, low long, part int, tokens array<long>")
+
+
+def _overlap(a: np.ndarray, b: np.ndarray) -> int:
+    both = np.concatenate((a, b))
+    both.sort()
+    return int((both[1:] == both[:-1]).sum())
+
+
+def _leaders(sets: DataFrame, percent: int, leaders: int) -> DataFrame:
+    """Links (u, v) between the members of a min-hash class (and part) and its leaders: a
+    member that no leader links becomes one itself, up to ``leaders``. The sets stream by."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, lead = None, []
+        for b in batches:
+            tokens, (u, v) = b.column(3), ([], [])
+            for i, key in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+                if key != group:
+                    group, lead = key, []
+                rep, s = b.column(2)[i].as_py(), tokens[i].values.to_numpy()
+                mine = 0
+                for other, t in lead:
+                    if 100 * min(len(s), len(t)) >= percent * max(len(s), len(t)):
+                        n = _overlap(s, t)
+                        if 100 * n >= percent * (len(s) + len(t) - n):
+                            u.append(rep)
+                            v.append(other)
+                            mine += 1
+                if not mine and len(lead) < leaders:
+                    lead.append((rep, s))
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+    key = ["low", "part"]
+    return sets.select(*key, "rep", "tokens").repartition(*key).sortWithinPartitions(*key, F.xxhash64("rep")).mapInArrow(run, "u long, v long")
 
 
 def _linked(a: str, b: str, percent: int):
@@ -132,7 +194,7 @@ def _linked(a: str, b: str, percent: int):
     return F.when(100 * F.least(na, nb) >= percent * F.greatest(na, nb), 100 * both >= percent * (na + nb - both)).otherwise(False)
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, leaders: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, leaders: int = 64, class_part: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, rep, component_id) per row of ``docs``: set size, the smallest
     doc_id with the same set, the smallest doc_id reachable by links.
 
@@ -142,9 +204,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, leaders: int
     """
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     rows = cut(_prefixes(src, k, percent, _sketch(src, k)))
-    reps = rows.where("n > 0 and doc_id is not null").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"))
+    reps = rows.where("n > 0 and doc_id is not null").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"), F.any_value("low").alias("low"))
 
-    # 1. candidates: prefix shingles that sets of similar size share
+    # 1. prefix shingles that sets of similar size share
     entries = rows.where("n > 0 and doc_id is not null").select("sig", "n", F.explode("prefix").alias("token")).repartition("token")
     often = entries.groupBy("token").agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a <> b").select("token")
     entries = entries.join(often, "token").distinct()
@@ -153,48 +215,47 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, leaders: int
     banded = cut(entries.select("*", F.explode(F.array(band, band + 1)).alias("band")))
     alike = banded.groupBy("token", "band").agg(F.count("*").alias("c")).where("c > 1").select("token", "band")
     entries = banded.join(alike, ["token", "band"]).select("token", "sig", "n").distinct()
-    entries = cut(entries.join(reps, ["sig", "n"]).select("rep", "sig", "n", "token"))
-    wanted = entries.select("rep", "sig").distinct()
-    texts = src.join(wanted, F.col("doc_id") == F.col("rep")).select("rep", "sig", "text")
-    sets = cut(_sets(texts, k))
+    entries = cut(entries.join(reps.drop("low"), ["sig", "n"]).select("rep", "sig", "n", "token"))
 
     # 2. groups of similar documents
-    links = None
-    for low in ("low1", "low2"):
-        w = Window.partitionBy(low).orderBy(F.xxhash64("rep"), "rep")
-        first = sets.select(low, "rep").withColumn("r", F.row_number().over(w)).where(F.col("r") <= leaders).select("rep")
-        lead = sets.join(first, "rep", "left_semi").select(low, "rep", "n", "tokens")
-        pair = (sets.alias("a").join(lead.alias("b"), F.col(f"a.{low}") == F.col(f"b.{low}"))
-                .where((F.col("a.rep") != F.col("b.rep")) & _linked("a", "b", percent))
-                .select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v")))
-        links = pair if links is None else links.unionByName(pair)
-    links = cut(links)
+    met = entries.select("rep", "sig").distinct().join(reps.select("rep", "sig", F.explode("low").alias("low")), ["rep", "sig"])
+    parts = met.groupBy("low").agg(F.count("*").alias("c")).where("c > 1").select("low", F.ceil(F.col("c") / class_part).cast("int").alias("parts"))
+    known = cut(met.join(parts, "low", "left").select("rep", "sig", "low", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part")))
+    links = cut(_leaders(_sets(_texts(src, known.where("part is not null")), k), percent, leaders))
     label = components(links)
-    grouped = (sets.select("rep").join(label.withColumnRenamed("node", "rep"), "rep", "left")
-               .select("rep", F.coalesce("root", "rep").alias("g")))
-    size = grouped.groupBy("g").agg(F.count("*").alias("members"))
-    grouped = cut(grouped.join(size, "g"))
+    grouped = (entries.select("rep", "n").distinct().join(label.withColumnRenamed("node", "rep"), "rep", "left")
+               .select("rep", F.coalesce("root", "rep").alias("g"), "n"))
+    size = grouped.groupBy("g").agg(F.count("*").alias("members"), F.min("n").alias("n_min"), F.max("n").alias("n_max"))
+    grouped = cut(grouped.drop("n").join(size, "g"))
 
     # 3. token-group matrix; the query comes from the smaller of two groups
-    e = entries.drop("sig").join(grouped, "rep")
-    matrix = e.groupBy("token", "g", "members").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"))
-    met = (e.alias("q").join(matrix.alias("m"), F.col("q.token") == F.col("m.token"))
-           .where((F.col("q.g") != F.col("m.g"))
-                  & ((F.col("q.members") < F.col("m.members")) | ((F.col("q.members") == F.col("m.members")) & (F.col("q.g") < F.col("m.g"))))
-                  & (100 * F.col("m.n_max") >= percent * F.col("q.n")) & (100 * F.col("q.n") >= percent * F.col("m.n_min")))
-           .select("q.rep", "q.n", "m.g", "m.members").distinct())
-    met = cut(met)
-    large = met.where("members > 1")
-    union = (sets.join(grouped, "rep").join(large.select("g").distinct(), "g", "left_semi")
-             .select("g", F.explode("tokens").alias("token")).distinct())
-    asked = large.join(sets.select("rep", "tokens"), "rep").select("rep", "n", "g", F.explode("tokens").alias("token"))
-    open_groups = (asked.join(union, ["g", "token"]).groupBy("rep", "n", "g").agg(F.count("*").alias("bound"))
-                   .where(100 * F.col("bound") >= percent * F.col("n")).select("rep", "g"))
-    open_groups = open_groups.unionByName(met.where("members = 1").select("rep", "g"))
+    e = entries.select("rep", "n", "token").join(grouped, "rep")
+    matrix = e.select("token", "g", "members", "n_min", "n_max").distinct()
+
+    def may_link(shared, n, other_low, other_high):
+        """Whether ``shared`` common prefix shingles allow a link with a set of such a size."""
+        low = F.greatest(other_low, F.ceil(n * percent / 100))
+        high = F.least(other_high, F.floor(n * 100 / percent))
+        rest = F.floor(F.greatest(n, high) * percent / 100)  # shingles after the prefix, at most
+        return shared + rest + 1 >= F.ceil((n + low) * percent / (100 + percent))
+
+    q, m = e.alias("q"), matrix.alias("m")
+    smaller = (F.col("q.members") < F.col("m.members")) | ((F.col("q.members") == F.col("m.members")) & (F.col("q.g") < F.col("m.g")))
+    opened = (q.join(m, F.col("q.token") == F.col("m.token"))
+              .where((F.col("q.g") != F.col("m.g")) & smaller
+                     & (100 * F.col("m.n_max") >= percent * F.col("q.n")) & (100 * F.col("q.n") >= percent * F.col("m.n_min")))
+              .groupBy("q.rep", "q.n", "m.g", "m.n_min", "m.n_max").agg(F.count("*").alias("bound"))
+              .where(may_link(F.col("bound"), F.col("n"), F.col("n_min"), F.col("n_max"))).select("rep", "g"))
 
     # 4. members of opened groups
-    inside = (open_groups.join(e.select("rep", "token"), "rep")
-              .join(e.select(F.col("rep").alias("other"), "g", "token"), ["g", "token"]).select("rep", "other").distinct())
+    inside = (opened.join(e.select("rep", "n", "token"), "rep")
+              .join(e.select(F.col("rep").alias("other"), F.col("n").alias("m"), "g", "token"), ["g", "token"])
+              .where((100 * F.col("m") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("m")))
+              .groupBy("rep", "n", "other", "m").agg(F.count("*").alias("bound"))
+              .where(may_link(F.col("bound"), F.col("n"), F.col("m"), F.col("m"))).select("rep", "other"))
+    inside = cut(inside)
+    ends = inside.select("rep").unionByName(inside.select(F.col("other").alias("rep"))).distinct()
+    sets = cut(_sets(_texts(src, known.join(ends, "rep", "left_semi").dropDuplicates(["rep"])), k).select("rep", "n", "tokens"))
     pair = (inside.join(sets.alias("a"), F.col("a.rep") == inside["rep"]).join(sets.alias("b"), F.col("b.rep") == inside["other"])
             .where(_linked("a", "b", percent)).select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v")))
     label = components(links.unionByName(pair))
