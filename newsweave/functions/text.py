@@ -137,8 +137,10 @@ def regex_tokens(col) -> Column:
 
 
 def parse_list_literal(col) -> Column:
-    """P-12: a Python list literal of strings -> ARRAY<STRING>."""
-    return F.from_json(_c(col), "array<string>", {"allowSingleQuotes": "true"})
+    """P-12: a Python list literal of strings -> ARRAY<STRING>; None becomes a null element."""
+    options = {"allowSingleQuotes": "true"}
+    bare_none = F.regexp_replace(_c(col), r"(?<=[\[,\s])None(?=[\],\s])", "null")
+    return F.coalesce(F.from_json(_c(col), "array<string>", options), F.from_json(bare_none, "array<string>", options))
 
 
 def parse_vector_text(col) -> Column:

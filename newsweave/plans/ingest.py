@@ -74,10 +74,11 @@ def last_seen(df: DataFrame, key: str = "news_link", order_col: str = "pos") ->
     return df.agg(F.min_by(key, order_col).alias("last_seen_link"))
 
 
-def new_links(listing: DataFrame, marker: DataFrame, cap: int | None = 100,
+def new_links(listing: DataFrame, marker: DataFrame, cap: int | None = None,
               key: str = "news_link", order_cols=("pos",)) -> DataFrame:
     """W-3: links before the first occurrence of the marker, first occurrence of each link
-    kept, in listing order, at most ``cap`` of them (the reference's per-cycle cap)."""
+    kept, in listing order. ``cap`` limits a trial run; links beyond it are lost for good,
+    because the newest link is the next marker, so there is none by default."""
     order = F.struct(*[F.col(c) for c in order_cols])
     stop = listing.join(F.broadcast(marker), listing[key] == marker["last_seen_link"], "left_semi") \
         .agg(F.min(order).alias("_stop"))
@@ -96,7 +97,7 @@ def merge_links(new: DataFrame, prev: DataFrame, key: str = "news_link") -> Data
             .unionByName(old.select(key, F.lit(1).alias("batch"), "pos")))
 
 
-def gated(links: DataFrame, min_count: int = 3) -> tuple[DataFrame, bool]:
-    """W-4: the merged list is kept either way; the cycle goes on only with enough links."""
-    n = links.count()
-    return links, n >= min_count
+def gated(merged: DataFrame, min_count: int = 3) -> DataFrame:
+    """W-4: (n_links, proceed) of the merged list, new and waiting links together; the list is
+    kept either way, the cycle goes on only with enough links."""
+    return merged.agg(F.count("*").alias("n_links"), (F.count("*") >= min_count).alias("proceed"))

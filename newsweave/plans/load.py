@@ -43,7 +43,7 @@ def insert_news(articles: DataFrame, summary: DataFrame, existing_topic: DataFra
 
     articles: summary-article rows (cluster_id, title, news_link, ..., _row order);
     summary: summary rows (cluster_id, topic_name, ai_summary, summary_time, _row)."""
-    topics = topics_from_summary(summary, with_image=False)
+    topics = topics_from_summary(summary, with_image="image_url" in summary.columns)
     ins_topics = new_topics(topics, existing_topic)
     arts = articles
     for c, d in {"news_summary": "", "is_new": 0, "is_third": 0}.items():

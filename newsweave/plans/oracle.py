@@ -575,7 +575,6 @@ new_links AS (
     SELECT news_link, min(pos) AS pos FROM listing, stop
     WHERE (stop.s IS NULL OR pos < stop.s) AND news_link IS NOT NULL AND news_link <> ''
     GROUP BY news_link)
-  ORDER BY pos LIMIT 100
 )"""
 
 
@@ -600,7 +599,12 @@ WHERE news_link NOT IN (SELECT news_link FROM new_links)"""
 
 
 def gated_links_sql() -> str:
-    return with_(LISTING) + "SELECT count(*) AS n_links, count(*) >= 3 AS proceed FROM new_links"
+    return with_(LISTING) + """
+SELECT count(*) AS n_links, count(*) >= 3 AS proceed FROM (
+  SELECT news_link FROM new_links
+  UNION ALL
+  SELECT news_link FROM (SELECT DISTINCT news_link FROM listing)
+  WHERE news_link NOT IN (SELECT news_link FROM new_links))"""
 
 
 def dedup_keep_first_sql() -> str:

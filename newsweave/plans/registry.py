@@ -312,7 +312,8 @@ def q_merge_links(spark, sf_dir):
 def q_gated_links(spark, sf_dir):
     lst = _listing(spark, sf_dir)
     new = IG.new_links(lst, _marker(lst))
-    return new.agg(F.count("*").alias("n_links"), (F.count("*") >= 3).alias("proceed"))
+    prev = keep_first(lst.select("news_link", "pos"), ["news_link"], ["pos"])
+    return IG.gated(IG.merge_links(new, prev))
 
 
 def q_dedup_keep_first(spark, sf_dir):

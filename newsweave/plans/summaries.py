@@ -67,33 +67,30 @@ def large_clusters(df: DataFrame, cluster_col: str = "cluster_id", min_size: int
 
 
 def build_prompts(df: DataFrame, summary_time: str, cluster_col: str = "cluster_id",
-                  order_col: str = "pos", min_size: int = 2, max_articles: int = 500) -> DataFrame:
-    """A-10: one prompt per cluster of size >= 2; articles in row order, numbered pos + 1,
-    joined by a blank line. Articles are rendered map-side; the grouped step only merges
-    (position, text) pairs.
-
-    A cluster larger than ``max_articles`` is split into ceil(n / max_articles) parts by a
-    hash of the position (each part in row order, ``part`` / ``n_parts``), so no task holds
-    a hot cluster whole and no article is dropped; smaller clusters give exactly one prompt.
+                  order_col: str = "pos", min_size: int = 2, chunk_rows: int = 10_000) -> DataFrame:
+    """A-10: one prompt per cluster of size >= 2, whatever its size; articles in row order,
+    numbered pos + 1, joined by a blank line.
+
+    Articles are laid out in ranges of ``chunk_rows`` positions first, so the sorting and
+    rendering of a large cluster is spread over many tasks; the last step only joins the
+    finished chunks in order. The result does not depend on ``chunk_rows``.
     """
-    big = large_clusters(df, cluster_col, min_size).withColumn(
-        "n_parts", F.ceil(F.col("n") / F.lit(max_articles)).cast("int"))
-    docs = df.where(F.col(cluster_col) != NOISE).select(
-        F.col(cluster_col).cast("int").alias("cluster_id"), F.col(order_col).alias("_o"),
+    docs = df.where(F.col(cluster_col).isNotNull() & (F.col(cluster_col) != NOISE)).select(
+        F.col(cluster_col).cast("int").alias("cluster_id"), F.floor(F.col(order_col) / F.lit(chunk_rows)).alias("chunk"),
         F.struct(F.col(order_col).alias("o"),
                  _fmt(ARTICLE_LAYOUT, n=F.col(order_col) + 1, title=F.col("title"),
                       news_summary=F.col("news_summary"), press=F.col("press")).alias("t"),
                  F.col("title").alias("title")).alias("d"))
-    parted = docs.join(big, "cluster_id").withColumn(
-        "part", F.pmod(F.xxhash64("_o"), F.col("n_parts")).cast("int"))
-    grouped = (parted.groupBy("cluster_id", "part")
-               .agg(F.sort_array(F.collect_list("d")).alias("ds"), F.first("n").alias("n"),
-                    F.first("n_parts").alias("n_parts")))
-    body = F.array_join(F.transform("ds", lambda d: d["t"]), "\n\n")
-    return grouped.select("cluster_id", "part", "n_parts", "n",
-                          F.transform("ds", lambda d: d["title"]).alias("titles"),
-                          _fmt(PROMPT_TEMPLATE, articles=body, cluster_id=F.col("cluster_id"),
-                               summary_time=F.lit(summary_time)).alias("prompt"))
+    chunks = (docs.groupBy("cluster_id", "chunk").agg(F.sort_array(F.collect_list("d")).alias("ds"))
+              .select("cluster_id", F.size("ds").cast("long").alias("n"),
+                      F.struct("chunk", F.array_join(F.transform("ds", lambda d: d["t"]), "\n\n").alias("text"),
+                               F.transform("ds", lambda d: d["title"]).alias("titles")).alias("c")))
+    whole = (chunks.groupBy("cluster_id").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list("c")).alias("cs"))
+             .where(F.col("n") >= min_size))
+    body = F.array_join(F.transform("cs", lambda c: c["text"]), "\n\n")
+    return whole.select("cluster_id", "n", F.flatten(F.transform("cs", lambda c: c["titles"])).alias("titles"),
+                        _fmt(PROMPT_TEMPLATE, articles=body, cluster_id=F.col("cluster_id"),
+                             summary_time=F.lit(summary_time)).alias("prompt"))
 
 
 # --- P-21 / P-22: strict JSON parsing -------------------------------------------------------------

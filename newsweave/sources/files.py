@@ -19,14 +19,17 @@ NULL_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-n
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """SRC-1: header, quoted multi-line cells, BOM; every string column gets the null-token
-    rule; other columns are cast leniently."""
+    """SRC-1: quoted multi-line cells, BOM; columns are found by header name (a missing one is
+    null, others are not read); every column gets the null-token rule; integers may be written
+    with a zero fraction (``3.0``), other columns are cast leniently."""
     raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-           .option("encoding", "UTF-8").schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema]))
-           .csv(path))
+           .option("encoding", "UTF-8").option("inferSchema", False).csv(path))
+    there = {c.lstrip("\ufeff").strip(): c for c in raw.columns}
     cols = []
     for f in schema:
-        c = F.col(f.name)
+        c = F.col(f"`{there[f.name]}`") if f.name in there else F.lit(None).cast("string")
+        if isinstance(f.dataType, (T.IntegerType, T.LongType, T.ShortType)):
+            c = F.regexp_replace(F.trim(c), r"^([+-]?\d+)\.0*$", "$1")
         c = F.when(c.isin(NULL_TOKENS), F.lit(None)).otherwise(c)
         cols.append((c if isinstance(f.dataType, T.StringType) else c.try_cast(f.dataType)).alias(f.name))
     return raw.select(*cols)

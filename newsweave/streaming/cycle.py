@@ -3,15 +3,13 @@
 New raw-article files land in a folder; each micro-batch is preprocessed and merged into
 the accumulated article table with a null-safe anti-join on ``news_link`` (a replayed
 batch adds nothing). ``foreachBatch`` then runs any batch stage (e.g. the cluster cycle)
-on the rows that were really new. Late rows: ``dropDuplicatesWithinWatermark`` bounds the
-dedup state by the watermark on ``publish_date``; the reference keeps every late row, so
-the watermark delay is a parameter (default one week).
+on the rows that were really new. Late and undated rows are kept like all others: the stored
+table is the only dedup state, so the stream needs no watermark.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsweave import schemas
@@ -19,10 +17,10 @@ from newsweave.plans.ingest import preprocess
 
 
 def _stored(spark: SparkSession, path: str):
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first batch: no table yet
-        return None
+    """The stored table, or None before the first batch; read errors are raised."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return spark.read.parquet(path) if fs.exists(where) else None
 
 
 def merge_batch(batch: DataFrame, table_path: str, key: str = "news_link") -> DataFrame:
@@ -40,24 +38,19 @@ def merge_batch(batch: DataFrame, table_path: str, key: str = "news_link") -> Da
 
 
 def article_stream(spark: SparkSession, source_dir: str, table_path: str, checkpoint_path: str,
-                   on_new=None, watermark: str = "7 days", trigger: dict | None = None):
+                   on_new=None, trigger: dict | None = None):
     """Start the stream; ``on_new(df, batch_id)`` receives the appended rows of a batch.
     ``trigger`` defaults to availableNow (tests); production passes
     ``{"processingTime": "5 minutes"}``."""
     # a new schema object: StructType.add would change the shared one in place
     schema = T.StructType(list(schemas.RAW_ARTICLE.fields) + [T.StructField("pos", T.LongType())])
     raw = spark.readStream.schema(schema).parquet(source_dir)
-    # watermarks need TIMESTAMP (not NTZ); undated rows take their arrival time
-    pre = (preprocess(raw)
-           .withColumn("_event_ts", F.coalesce(F.col("publish_date").cast("timestamp"), F.current_timestamp()))
-           .withWatermark("_event_ts", watermark)
-           .dropDuplicatesWithinWatermark(["news_link"]))
 
     def sink(df: DataFrame, batch_id: int):
-        appended = merge_batch(df.drop("_event_ts"), table_path)
+        appended = merge_batch(df, table_path)
         if on_new is not None:
             on_new(appended, batch_id)
 
-    w = pre.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_path)
+    w = preprocess(raw).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_path)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()

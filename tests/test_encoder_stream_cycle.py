@@ -44,7 +44,7 @@ def test_stream_runs_stage_on_new_rows(spark):
         new_rows.groupBy("press").agg(F.count("*").alias("n")).withColumn("batch", F.lit(batch_id)) \
             .write.mode("append").parquet(sizes)
 
-    q = article_stream(spark, src + "/*", out, ck, on_new=stage, watermark="100000 days")
+    q = article_stream(spark, src + "/*", out, ck, on_new=stage)
     q.awaitTermination(300)
     total = spark.read.parquet(sizes).agg(F.sum("n")).first()[0]
     assert total == spark.read.parquet(out).count()

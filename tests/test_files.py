@@ -22,3 +22,12 @@ def test_failed_jsonl_roundtrip(spark):
     FS.write_failed(df, d)
     got = FS.read_failed(spark, d)
     assert got.count() == 2 and got.select("cluster_id").distinct().count() == 1
+
+
+def test_csv_columns_by_header_name_and_float_like_ints(spark):
+    d = tempfile.mkdtemp(prefix="nw-csv-", dir="/tmp")
+    with open(d + "/a.csv", "w", encoding="utf-8-sig") as f:
+        f.write("cluster_id,other,title\n3.0,x,a\n,y,b\n4,z,NA\n")
+    schema = T.StructType([T.StructField("title", T.StringType()), T.StructField("cluster_id", T.IntegerType()), T.StructField("gone", T.StringType())])
+    rows = FS.read_csv_table(spark, d + "/a.csv", schema).collect()
+    assert [tuple(r) for r in rows] == [("a", 3, None), ("b", None, None), (None, 4, None)]

@@ -39,13 +39,11 @@ def test_insert_news_is_idempotent(spark):
     assert t2.count() == 0 and n2.count() == 0
 
 
-def test_big_cluster_prompt_is_split_without_loss(spark):
-    arts = spark.createDataFrame([(i, 7, f"t{i}", "s", "p") for i in range(5)] + [(9, 8, "u", "s", "p"), (10, 8, "v", "s", "p")],
+def test_prompt_does_not_depend_on_the_chunk_size(spark):
+    arts = spark.createDataFrame([(i, 7, f"t{i}", "s", "p") for i in range(23)] + [(29, 8, "u", "s", "p"), (30, 8, "v", "s", "p"), (31, 9, "w", "s", "p")],
                                  "pos long, cluster_id int, title string, news_summary string, press string")
-    pr = SM.build_prompts(arts, "2025-01-01 00:00", max_articles=2).collect()
-    seven = [r for r in pr if r.cluster_id == 7]
-    assert {r.n_parts for r in seven} == {3} and len(seven) <= 3
-    body = "".join(r.prompt for r in seven)
-    assert all(f"{i + 1}. title: t{i}" in body for i in range(5))
-    eight = [r for r in pr if r.cluster_id == 8]
-    assert len(eight) == 1 and eight[0].n_parts == 1
+    small, large = ({r.cluster_id: r for r in SM.build_prompts(arts, "2025-01-01 00:00", chunk_rows=n).collect()} for n in (7, 10_000))
+    assert small == large and set(small) == {7, 8} and small[7].n == 23
+    assert small[7].titles == [f"t{i}" for i in range(23)]
+    at = [small[7].prompt.index(f"{i + 1}. title: t{i}") for i in range(23)]
+    assert at == sorted(at)
