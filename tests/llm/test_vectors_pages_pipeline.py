@@ -71,6 +71,13 @@ def test_host_boilerplate(spark, part_tokens):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_undecided_blocks_beside_an_article(spark):
+    bar = "Read our daily letter and never miss a thing"
+    rows = [(i, f"http://h.example/{i}", f"<div>{bar}</div><div>lead of page {i} before it</div><article><p>teaser {i}</p></article><div>second part {i} after it</div>") for i in range(5)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert all(r.text == f"lead of page {r.page_id} before it\n\nteaser {r.page_id}\n\nsecond part {r.page_id} after it" for r in html_text.extract(df).collect())
+
+
 def test_pipeline_stages(spark, tmp_path, odd, none):
     import corpus_pipeline as C
     from newsweave.llm.common import table
