@@ -78,6 +78,22 @@ def test_undecided_blocks_beside_an_article(spark):
     assert all(r.text == f"lead of page {r.page_id} before it\n\nteaser {r.page_id}\n\nsecond part {r.page_id} after it" for r in html_text.extract(df).collect())
 
 
+@pytest.mark.parametrize("part_tokens", [5, 200_000])
+def test_copies_and_shared_phrases_stay(spark, part_tokens):
+    """Copies of a page, pages that share a text and phrases inside sentences are content."""
+    long = "this long report about rivers and bridges is told only once here"
+    rows = [(i, "http://copy.example/", f"<div>{long}</div>") for i in range(4)]
+    rows += [(10 + i, "http://copy.example/", f"<nav>menu {i}</nav><div>{long}</div>") for i in range(4)]
+    rows += [(20 + i, "http://two.example/", f"<div>{long}</div><div>note {i}</div>") for i in range(2)]
+    rows += [(30 + i, None, f"<div>w{i} as a matter of fact we have seen x{i}</div><div>Home</div>" + (f"<div>{long}</div>" if i < 4 else "")) for i in range(10)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(df, part_tokens=part_tokens).collect()}
+    assert all(got[i] == got[10 + i] == long for i in range(4))
+    assert all(got[20 + i] == f"{long}\n\nnote {i}" for i in range(2))
+    # the one block that most pages have goes, though it is shorter than a run
+    assert all(got[30 + i] == f"w{i} as a matter of fact we have seen x{i}" + (f"\n\n{long}" if i < 4 else "") for i in range(10))
+
+
 def test_pipeline_stages(spark, tmp_path, odd, none):
     import corpus_pipeline as C
     from newsweave.llm.common import table
