@@ -50,6 +50,21 @@ def test_blocks_of_a_page():
     assert got == ["Head & line", "One two three", "Four fivesix", "a", "b"]
 
 
+@pytest.mark.parametrize("wrapper", ['<div class="has-sidebar">', '<div class="no-sidebar">', '<div class="content side-left">', '<div id="login-required">',
+                                     '<div class="sidebar">', '<form action="/">', '<header class="banner">'])
+def test_wrappers_do_not_hide_the_page(wrapper):
+    end = f"</{wrapper[1:].split()[0]}>"
+    page = f"{wrapper}<nav>Menu</nav><article><p>Text</p><div class='share-buttons'>Tweet</div></article><section class='comments'><article>First!</article></section>{end}"
+    got = html_text.blocks_of(page)
+    assert [t for k, t in got if k == html_text.CONTENT] == ["Text"]
+    assert [t for k, t in got if k == html_text.FURNITURE] == ["Menu", "Tweet", "First!"]
+
+
+@pytest.mark.parametrize("wrapper", ['<div class="has-sidebar">', '<div class="no-sidebar">', '<div class="content side-left">', '<div class="login-required">', "<form>"])
+def test_wrappers_without_an_article(wrapper):
+    assert html_text.blocks_of(f"{wrapper}<p>Text</p><div class='ad-box'>Buy</div>") == [(html_text.UNDECIDED, "Text"), (html_text.FURNITURE, "Buy")]
+
+
 def test_suffix_ranks_equal_brute_force():
     t = np.random.default_rng(1).integers(0, 3, 200).astype(np.uint64)
     for run in (1, 2, 5, 8):
