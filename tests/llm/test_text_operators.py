@@ -202,6 +202,28 @@ def test_quality_rejects_outliers(spark):
     assert {d for d, k in got.items() if not k} == set(range(0, 400, 50))
 
 
+@pytest.mark.parametrize("kind", quality_rules.DIMS)
+def test_quality_rejects_an_outlier_of_each_statistic(spark, kind):
+    rnd = random.Random(5)
+
+    def text(d):
+        words = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 9))) for _ in range(rnd.randint(80, 200))]
+        if d % 50:
+            return " ".join(words)
+        if kind == "x_word":
+            return " ".join(w * 4 for w in words)
+        if kind == "x_symbol":
+            return " ".join(w + "%%%" for w in words)
+        if kind == "x_line":  # three lines in four are copies, but all windows of eight words differ
+            return "\n".join(x for w in words for x in (w, "abc hgfe", "bad cafe", "egg head"))
+        return " ".join(words[:80] + words[:11])  # 22 of 91 words
+
+    rows = [(d, text(d), "en", "s") for d in range(400)]
+    got = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert not any(r.base_failed for r in got)
+    assert {r.doc_id for r in got if not r.kept} == set(range(0, 400, 50))
+
+
 def test_language_id_held_out(spark, odd, none):
     sounds = {"aa": "ka to mi re sol ", "bb": "sch ung ein der lich ", "cc": "qué ción los mente "}
     rnd = random.Random(1)
