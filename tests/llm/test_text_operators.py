@@ -238,6 +238,22 @@ def test_language_id_held_out(spark, odd, none):
     assert language_id.train(none) == {} and language_id.classify(none, content).count() == 0
 
 
+def test_language_id_rejects_unclear_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang").where("lang <> 'es'")
+    content = language_id.train(docs.where(~language_id.held_out()))
+    rnd = random.Random(3)
+    held = [r for r in docs.where(language_id.held_out()).collect() if r.text and len(language_id.letters(r.text)) >= 200]
+    by = {k: [language_id.letters(r.text) for r in held if r.lang == k] for k in ("de", "en")}
+    rows = [(r.text, "clean") for r in held]
+    rows += [(f"{a[:300]} {b[:300]}", "mixed") for a, b in zip(by["de"], by["en"]) if len(a) >= 300 and len(b) >= 300]
+    rows += [(" ".join("".join(rnd.choices("bcdfghjklmnpqrstvwxz", k=rnd.randint(3, 9))) for _ in range(n)), "noise") for n in (10, 20, 60) for _ in range(20)]
+    rows += [(" ".join("".join(rnd.choices(("ką", "ž", "ių", "dė", "gy", "ška", "pū"), k=rnd.randint(1, 3))) for _ in range(n)), "unlearned") for n in (10, 20, 60) for _ in range(20)]
+    got = Counter((r.kind, r.accepted) for r in language_id.classify(spark.createDataFrame(rows, "text string, kind string"), content).collect())
+    assert got["clean", True] >= 0.95 * (got["clean", True] + got["clean", False])
+    for kind, part in (("mixed", 0.85), ("noise", 1.0), ("unlearned", 1.0)):
+        assert got[kind, False] >= part * (got[kind, True] + got[kind, False]) > 0, got
+
+
 def test_line_crf(spark, odd, none):
     scores, trans = np.random.default_rng(0).normal(size=(6, 2)), np.random.default_rng(1).normal(size=(2, 2))
     import itertools
