@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, html_text, language_id, line_quality, ngram_join, packing, quality_rules, substring_dedup, token_counts
+from . import bpe, embedding_dedup, fill_in_middle, html_text, language_id, line_quality, ngram_join, packing, quality_rules, spot_signatures, substring_dedup, token_counts, vector_codes
 from .common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -68,9 +68,21 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_signatures.edited_neighbours(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_vector_codes": vector_codes.sql(), "op12_fill_in_middle": fill_in_middle.SQL, "op13_spot_signatures": spot_signatures.sql()}
