@@ -107,8 +107,8 @@ def search(queries: DataFrame, docs: DataFrame, least: float = 0.8, chain: int =
 
 
 def _neighbours(keys: DataFrame) -> DataFrame:
-    """``keys`` (id, h, n, copies, unique in id and h) with id and h of the next key in descending
-    order as next_id and next_h; after the last comes the first.
+    """``keys`` (id, id0, h, n, copies; unique in id0 and h) with the key of the next row in
+    descending order as next_id0 and next_h; after the last comes the first.
 
     Keys are range-partitioned and numbered by partition and place; only counts per partition
     are broadcast. No task holds more than its range.
@@ -125,8 +125,8 @@ def _neighbours(keys: DataFrame) -> DataFrame:
         total += r["size"]
     starts = spark.createDataFrame(list(before.items()) or [(0, 0)], "part long, before long")
     placed = placed.join(F.broadcast(starts), "part").withColumn("place", F.col("before") + F.col("at"))
-    right = placed.select(F.col("id").alias("next_id"), F.col("h").alias("next_h"), F.pmod(F.col("place") + 1, F.lit(max(total, 1))).alias("place"))
-    return placed.join(right, "place").select("id", "h", "n", "copies", "next_id", "next_h")
+    right = placed.select(F.col("id0").alias("next_id0"), F.col("h").alias("next_h"), F.pmod(F.col("place") + 1, F.lit(max(total, 1))).alias("place"))
+    return placed.join(right, "place").select("id", "id0", "h", "n", "copies", "next_id0", "next_h")
 
 
 def edited_neighbours(docs: DataFrame, share: int = 3, chain: int = CHAIN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -144,19 +144,19 @@ def edited_neighbours(docs: DataFrame, share: int = 3, chain: int = CHAIN, id_co
     whose edit needs them, with the signatures of their document. No key is shared by more than
     the copies of one row, which are collapsed before the shuffle.
     """
-    src = docs.select(docs[id_col].cast("long").alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    keys = src.select("id", "h", F.char_length("text").cast("long").alias("n")).groupBy("id", "h").agg(F.max("n").alias("n"), F.count("*").alias("copies"))
+    # a row's key is (id0, h), never null, so that one shuffle serves the copies and both joins
+    src = docs.select(docs[id_col].cast("long").alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    src = src.select(F.coalesce("id", F.lit(0).cast("long")).alias("id0"), F.xxhash64(F.col("id").isNull(), "text").alias("h"), "id", "text")
+    keys = src.select("id", "id0", "h", F.char_length("text").cast("long").alias("n")).groupBy("id", "id0", "h").agg(F.max("n").alias("n"), F.count("*").alias("copies"))
     keys = cut(_neighbours(cut(keys)))
-    one = src.dropDuplicates(["id", "h"])
+    one = src.select("id0", "h", "text").dropDuplicates(["id0", "h"])
 
     # what the row before needs of a document: its first code points and its signatures
-    wanted = keys.select(F.col("next_id").alias("id"), F.col("next_h").alias("h"), F.col("id").alias("to_id"), F.col("h").alias("to_h"), F.floor(F.col("n") / share).cast("int").alias("take"))
-    same = one["id"].eqNullSafe(wanted["id"]) & (one["h"] == wanted["h"])
-    sent = one.join(wanted, same).select("to_id", "to_h", F.substring(F.col("text"), F.lit(1), F.col("take")).alias("start"), signatures(F.col("text"), chain).alias("next_sigs"))
-    mine = keys.select("id", "h", "n", "copies")
-    same = one["id"].eqNullSafe(mine["id"]) & (one["h"] == mine["h"])
-    rows = one.join(mine, same).select(one["id"], one["h"], "text", "n", "copies")
-    rows = rows.join(sent, rows["id"].eqNullSafe(sent["to_id"]) & (rows["h"] == sent["to_h"]))
+    wanted = keys.select(F.col("next_id0").alias("id0"), F.col("next_h").alias("h"), F.col("id0").alias("to_id0"), F.col("h").alias("to_h"), F.floor(F.col("n") / share).cast("int").alias("take"))
+    sent = one.join(wanted, ["id0", "h"]).select(F.col("to_id0").alias("id0"), F.col("to_h").alias("h"), F.substring(F.col("text"), F.lit(1), F.col("take")).alias("start"),
+                                                 F.unhex(fingerprint(signatures(F.col("text"), chain))).alias("next_sigs"))
+    rows = one.join(keys.select("id", "id0", "h", "n", "copies"), ["id0", "h"]).join(sent, ["id0", "h"])
+    rows = rows.withColumn("next_sigs", F.regexp_extract_all(F.lower(F.hex("next_sigs")), F.lit(f"(.{{{_HEX}}})"), 1))
 
     take = F.floor(F.col("n") / share).cast("int")
     head = F.substring(F.col("text"), F.lit(1), (F.col("n") - take).cast("int"))

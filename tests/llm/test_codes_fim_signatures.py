@@ -151,7 +151,7 @@ def test_edited_neighbours_equal_brute_force(spark, odd, none):
     base = "the river of stones and a bridge is built by the men of that town "
     rows = [(i, f"{base * (i % 7)} tail {i} of the story {i % 3}") for i in range(100, 160)] + [(155, "another text of the same id"), (-5, "ab"), (120, f"{base}")]
     docs = odd.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string")).withColumn("n", F.lit("z"))
-    order = spark.createDataFrame(docs.collect(), docs.schema).selectExpr("doc_id", "coalesce(text, '') AS text", "xxhash64(coalesce(text, '')) AS h").collect()
+    order = spark.createDataFrame(docs.collect(), docs.schema).selectExpr("doc_id", "coalesce(text, '') AS text", "xxhash64(doc_id IS NULL, coalesce(text, '')) AS h").collect()
     order.sort(key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h), reverse=True)
     want = []
     for k, r in enumerate(order):
