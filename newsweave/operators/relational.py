@@ -32,15 +32,6 @@ def null_safe_anti(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     return left.join(r, cond, "left_anti")
 
 
-def null_safe_semi(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys]).distinct()
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(r[f"_r_{k}"])
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, "left_semi")
-
-
 def lenient_int(col) -> Column:
     """``pd.to_numeric(errors='coerce')`` then int: non-numbers become null."""
     c = F.col(col) if isinstance(col, str) else col

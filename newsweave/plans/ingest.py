@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from newsweave.functions import text as TX
 from newsweave.operators.relational import attach_row, keep_first
+from newsweave.sources.tables import Files
 
 
 def preprocess(df: DataFrame, tokenizer=TX.regex_tokens) -> DataFrame:
@@ -74,6 +75,19 @@ def last_seen(df: DataFrame, key: str = "news_link", order_col: str = "pos") ->
     return df.agg(F.min_by(key, order_col).alias("last_seen_link"))
 
 
+def load_marker(spark, pending_path: str, total_path: str, key: str = "news_link", order_col: str = "pos"):
+    """W-2 over stored tables: (waiting links, marker). The list of waiting links counts if it is
+    there, even empty or without links (then there is no marker); only without it the accumulated
+    articles give the marker, and nothing waits. The marker is one row, null when unknown."""
+    nothing = spark.createDataFrame([], f"{key} string, {order_col} long")
+    for path, waits in ((pending_path, True), (total_path, False)):
+        if Files(spark, path).exists(path):
+            df = spark.read.parquet(path)
+            df = df if key in df.columns else nothing
+            return (df if waits else nothing), last_seen(df, key, order_col)
+    return nothing, last_seen(nothing, key, order_col)
+
+
 def new_links(listing: DataFrame, marker: DataFrame, cap: int | None = None,
               key: str = "news_link", order_cols=("pos",)) -> DataFrame:
     """W-3: links before the first occurrence of the marker, first occurrence of each link

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from newsweave.functions import text as TX
 from newsweave.operators.relational import keep_first, lenient_int, null_safe_anti
 
+# Fixed value: columns of the news table.
 NEWS_COLS = ["topic_id", "title", "news_link", "press", "publish_date", "news_summary", "is_new", "is_third"]
 
 

@@ -8,13 +8,14 @@ DataFrame(cluster_id, prompt, ...) -> DataFrame(cluster_id, response).
 from __future__ import annotations
 
 import json
+import re
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsweave.functions.text import FAILURE_MARK, strip_py
+from newsweave.functions.text import FAILURE_MARK
 
 NOISE = -1
 
@@ -48,8 +49,6 @@ ARTICLE_LAYOUT = "{n}. title: {title}\nnews_summary: {news_summary}\npress: {pre
 def _fmt(template: str, **cols):
     """Fill a str.format-style template with Column values, natively (split on the named
     fields, concat the pieces)."""
-    import re
-
     parts, pos = [], 0
     for m in re.finditer(r"\{(\w+)\}", template):
         parts.append(F.lit(template[pos:m.start()].replace("{{", "{").replace("}}", "}")))
@@ -103,14 +102,11 @@ PARSED = T.StructType([
     T.StructField("article_titles", T.ArrayType(T.StringType())),
 ])
 
-_BLOCK = None
+# Fixed value: a fenced block of JSON inside an answer.
+_BLOCK = re.compile(r"```json\s*\n(.*?)\n```", re.DOTALL)
 
 
 def _parse_one(text):
-    global _BLOCK
-    import re
-    if _BLOCK is None:
-        _BLOCK = re.compile(r"```json\s*\n(.*?)\n```", re.DOTALL)
     if text is None or text == "" or text.startswith(FAILURE_MARK):
         return ("skipped", None, None, None, None, None)
     obj = None
@@ -144,10 +140,13 @@ def parse_answer(texts: pd.Series) -> pd.DataFrame:
 
 def parse_responses(responses: DataFrame, run_time: str) -> DataFrame:
     """(cluster_id, response) -> (cluster_id, status, response, summary_time, topic_name,
-    ai_summary, article_titles) with the reference's defaults for missing fields."""
+    ai_summary, article_titles) with the reference's defaults for missing fields. An answer that
+    names another cluster than the one asked for has failed; one that names none has not."""
     p = responses.withColumn("_p", parse_answer(F.col("response")))
+    other = F.col("_p.cluster_id").isNotNull() & ~F.col("_p.cluster_id").try_cast("double").eqNullSafe(F.col("cluster_id").cast("double"))
     return p.select(
-        F.col("cluster_id").cast("int").alias("cluster_id"), F.col("_p.status").alias("status"), "response",
+        F.col("cluster_id").cast("int").alias("cluster_id"),
+        F.when((F.col("_p.status") == "ok") & other, F.lit("failed")).otherwise(F.col("_p.status")).alias("status"), "response",
         F.coalesce("_p.summary_time", F.lit(run_time)).alias("summary_time"),
         F.coalesce("_p.topic_name", F.lit("")).alias("topic_name"),
         F.coalesce("_p.ai_summary", F.lit("")).alias("ai_summary"),
@@ -212,7 +211,3 @@ def template_responder(prompts: DataFrame) -> DataFrame:
             .when(k == 3, F.lit(FAILURE_MARK + ": 500]"))
             .otherwise(obj))
     return prompts.select(F.col("cluster_id").cast("long"), resp.alias("response"))
-
-
-def is_blank(col):
-    return strip_py(col) == ""

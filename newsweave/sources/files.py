@@ -1,4 +1,4 @@
-"""SRC-1/SRC-2 and SNK-1..SNK-6: file tables.
+"""SRC-1, SRC-2, SNK-1, SNK-4, SNK-5: file tables (see ``tables`` for updates and dated output).
 
 CSV cells may span lines and carry a byte-order mark; the pandas reader the reference
 uses turns a set of tokens into null in every column, which Spark's single ``nullValue``
@@ -40,32 +40,16 @@ def write_csv_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "append", partition_by=None) -> None:
-    """SNK-2/SNK-3/SNK-6: parquet append (per run, not per cluster); ``partition_by``
-    gives the date-stamped layout (``run_date``)."""
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-
-
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """SNK-5: an empty table with the schema exists afterwards."""
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
 
-def latest_partition(spark: SparkSession, path: str, col: str = "run_date") -> DataFrame:
-    """Read side of SNK-6: the newest dated partition only (partition pruning)."""
-    df = spark.read.parquet(path)
-    last = df.agg(F.max(col).alias("_m"))
-    return df.join(F.broadcast(last), df[col] == last["_m"], "left_semi")
-
-
 def read_failed(spark: SparkSession, path: str) -> DataFrame:
     """SRC-2: failed-answer records (JSON Lines)."""
     return spark.read.schema(schemas.FAILED).json(path)
 
 
-def write_failed(df: DataFrame, path: str) -> None:
-    """SNK-4: append failed-answer records as JSON Lines."""
-    df.select("cluster_id", "timestamp", "response").write.mode("append").json(path)
+def write_failed(df: DataFrame, path: str, mode: str = "append") -> None:
+    """SNK-4: failed-answer records as JSON Lines."""
+    df.select("cluster_id", "timestamp", "response").write.mode(mode).json(path)
