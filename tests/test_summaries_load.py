@@ -8,7 +8,7 @@ from newsweave.plans import summaries as SM
 
 def test_parse_answers(spark):
     ok = '{"cluster_id": 1, "topic_name": "t", "ai_summary": "s", "article_titles": ["a"]}'
-    rows = [(1, ok), (2, "text\n```json\n" + ok + "\n```\nmore"), (3, "```\n" + ok + "\n```"),
+    rows = [(1, ok), (2, "text\n```json\n" + ok.replace("1", "2", 1) + "\n```\nmore"), (3, "```\n" + ok + "\n```"),
             (4, ok + " words"), (5, ""), (6, None), (7, "  "), (8, "{}"), (9, "[1]"), (10, "[요약 실패: 500]")]
     df = spark.createDataFrame(rows, "cluster_id long, response string")
     got = {r.cluster_id: r.status for r in SM.parse_responses(df, "2025-01-01 00:00").collect()}
