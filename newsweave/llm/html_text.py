@@ -23,6 +23,7 @@ unique blocks stay too. A host is split into parts of bounded size by body; a su
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -41,6 +42,8 @@ _HELD = 3
 # Element names as HTML defines them.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _SKIP = frozenset("script style noscript template head title svg math iframe object canvas audio video select textarea button datalist map".split())
+_IN_HEAD = frozenset("html head base link meta noscript script style template title".split())
+_END_TAG = re.compile(f"</({'|'.join(sorted(_SKIP))})(?=[\\s/>])", re.I)
 _ASIDE = frozenset("nav footer aside dialog menu".split())
 _FORM = frozenset("form fieldset".split())
 _BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form
@@ -69,6 +72,7 @@ class _Reader(HTMLParser):
         self.parts: list[str] = []
         # open elements: (name, kind of its text, or None if it is skipped)
         self.stack: list[tuple[str, int | None]] = [("", UNDECIDED)]
+        self.ends: Counter[str] = Counter()
 
     def flush(self) -> None:
         if self.parts:
@@ -80,8 +84,8 @@ class _Reader(HTMLParser):
 
     def close_to(self, at: int) -> None:
         while len(self.stack) > at:
-            name, _ = self.stack[-1]
-            if name in _BLOCK or name in _SKIP:
+            # text collected so far is of the block around a skipped element, which has none itself
+            if self.stack[-1][0] in _BLOCK:
                 self.flush()
             self.stack.pop()
 
@@ -108,6 +112,10 @@ class _Reader(HTMLParser):
         if tag == "br" or tag == "wbr":
             self.parts.append(" " if tag == "br" else "")
             return
+        if tag not in _IN_HEAD:  # the end tag of a head may be omitted
+            self._end("head", stop=frozenset(("body",)))
+        if tag in _SKIP and tag != "head" and not self.ends[tag]:
+            return  # never closed: what follows is not inside
         if tag in _BLOCK:
             self.flush()
         if tag in _CLOSES_P:
@@ -144,6 +152,7 @@ class _Reader(HTMLParser):
                 return
 
     def handle_endtag(self, tag: str) -> None:
+        self.ends[tag] -= tag in _SKIP
         if tag in _BLOCK:
             self.flush()
         for at in range(len(self.stack) - 1, 0, -1):
@@ -161,6 +170,7 @@ def blocks_of(html: str | None) -> list[tuple[int, str]]:
     if not html:
         return []
     r = _Reader()
+    r.ends.update(t.lower() for t in _END_TAG.findall(html))
     r.feed(html)
     r.close()
     r.close_to(1)
