@@ -74,19 +74,20 @@ def _matrix(col: pa.Array) -> np.ndarray:
 
 
 def _coded(reps: DataFrame, tables: int, width: int, probes: int, seed: int) -> DataFrame:
-    """``reps`` (rep, times, vec) with codes: home and visited bucket keys of all tables."""
+    """``reps`` (rep, times, vec, dim) with codes: home and visited bucket keys of all tables."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                b = whole.slice(at, 1024)
+            dims = whole.column(3).to_numpy()
+            alike = [whole.take(pa.array(np.flatnonzero(dims == d))) for d in np.unique(dims)]
+            for b in (w.slice(at, 1024) for w in alike for at in range(0, w.num_rows, 1024)):
                 x = _unit(_matrix(b.column(2)))
                 if (2 << max(1, x.shape[1] - 1).bit_length()) ** width >= 1 << 31:
                     raise ValueError("bucket keys exceed 32 bits: choose a smaller width")
                 per = [keys(x, t, width, probes, seed) for t in range(tables)]
                 codes = np.concatenate([np.concatenate((h[:, None], v), 1) for h, v in per], 1).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, codes.size + 1, codes.shape[1], np.int32)), pa.array(codes.ravel()))
-                yield pa.RecordBatch.from_arrays([*b.columns, lists], ["rep", "times", "vec", "codes"])
-    return reps.mapInArrow(run, f"rep long, times long, vec {reps.schema['vec'].dataType.simpleString()}, codes array<int>")
+                yield pa.RecordBatch.from_arrays([*b.columns, lists], ["rep", "times", "vec", "dim", "codes"])
+    return reps.mapInArrow(run, f"rep long, times long, vec {reps.schema['vec'].dataType.simpleString()}, dim int, codes array<int>")
 
 
 def _forest(u: np.ndarray, v: np.ndarray) -> list[tuple[int, int]]:
@@ -155,84 +156,78 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9, tables: int = 8, wid
     v = v.withColumn("good", F.coalesce(good, F.lit(False)))
     groups = cut(v.where("good").groupBy("vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("times")).select("rep", "times", "vec", F.size("vec").alias("dim")))
 
-    parts = []
-    for (dim,) in sorted(groups.select("dim").distinct().limit(64).collect()):
-        reps = groups.where(F.col("dim") == dim).select("rep", "times", "vec")
-        coded = cut(_coded(reps, tables, width, probes, seed))
-        m = probes + 1
-        narrow = (coded.select("rep", F.posexplode("codes").alias("slot", "key"))
-                  .select("rep", F.floor(F.col("slot") / m).cast("int").alias("tab"), "key", (F.col("slot") % m == 0).alias("home")))
-        sizes = (narrow.groupBy("tab", "key").agg(F.count("*").alias("n"), F.sum(F.col("home").cast("long")).alias("at_home"))
-                 .where("n > 1 and at_home > 0").select("tab", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
-        dealt = (narrow.join(sizes, ["tab", "key"])
-                 .withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                 .withColumn("lo", F.least("blk", "other")).withColumn("hi", F.greatest("blk", "other")))
-        order = ["tab", "key", "lo", "hi"]
-        dealt = dealt.join(coded, "rep").select(*order, "blk", "rep", "times", "home", "vec", "codes").repartition(*order).sortWithinPartitions(*order)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: list[pa.RecordBatch] = []
-
-            def done(parts: list[pa.RecordBatch]) -> pa.RecordBatch | None:
-                """Link counts (v null) and forest edges (n null) of whole block pairs."""
-                t = pa.Table.from_batches(parts).combine_chunks()
-                num = {c: t.column(c).to_numpy() for c in ("tab", "key", "lo", "hi", "blk", "rep", "times", "home")}
-                num["vec"] = _unit(_matrix(t.column("vec").combine_chunks()))
-                num["codes"] = t.column("codes").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
-                group = np.stack([num[c] for c in order], 1)
-                edge = np.flatnonzero((group[1:] != group[:-1]).any(1)) + 1
-                us, vs = [], []
-                for s, e in zip([0, *edge.tolist()], [*edge.tolist(), t.num_rows]):
-                    if e - s > 1:
-                        g = {c: x[s:e] for c, x in num.items()}
-                        a, b = _compare(g, int(num["tab"][s]), int(num["lo"][s]), int(num["hi"][s]), probes, least)
-                        us.append(a + s)
-                        vs.append(b + s)
-                if not us or not sum(map(len, us)):
-                    return None
-                a, b = np.concatenate(us), np.concatenate(vs)
-                rep, times = num["rep"], num["times"]
-                node, slot = np.unique(np.concatenate((rep[a], rep[b])), return_inverse=True)
-                n = np.bincount(slot, np.concatenate((times[b], times[a]))).astype(np.int64)
-                tree = _forest(rep[a], rep[b])
-                return pa.RecordBatch.from_arrays([pa.array([*node.tolist(), *(x for x, _ in tree)], pa.int64()),
-                                                   pa.array([None] * len(node) + [y for _, y in tree], pa.int64()),
-                                                   pa.array([*n.tolist(), *([None] * len(tree))], pa.int64())], ["u", "v", "n"])
-            last = None
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                cols = [b.column(c).to_numpy() for c in order]
-                tail = tuple(int(c[-1]) for c in cols)
-                start = b.num_rows - 1
-                while start > 0 and all(int(c[start - 1]) == x for c, x in zip(cols, tail)):
-                    start -= 1
-                if start > 0 or tail != last:
-                    head = b.slice(0, start)
-                    if held or start:
-                        out = done([*held, head] if start else held)
-                        if out is not None:
-                            yield out
-                    held = [b.slice(start)]
-                else:
-                    held.append(b)
-                last = tail
-            if held:
-                out = done(held)
-                if out is not None:
+    coded = cut(_coded(groups.select("rep", "times", "vec", "dim"), tables, width, probes, seed))
+    m = probes + 1
+    narrow = (coded.select("rep", "dim", F.posexplode("codes").alias("slot", "key"))
+              .select("rep", "dim", F.floor(F.col("slot") / m).cast("int").alias("tab"), "key", (F.col("slot") % m == 0).alias("home")))
+    sizes = (narrow.groupBy("dim", "tab", "key").agg(F.count("*").alias("n"), F.sum(F.col("home").cast("long")).alias("at_home"))
+             .where("n > 1 and at_home > 0").select("dim", "tab", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
+    dealt = (narrow.join(sizes, ["dim", "tab", "key"])
+             .withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .withColumn("lo", F.least("blk", "other")).withColumn("hi", F.greatest("blk", "other")))
+    # the length is a part of the key: vectors of all lengths go through one plan
+    order = ["dim", "tab", "key", "lo", "hi"]
+    dealt = dealt.join(coded.drop("dim"), "rep").select(*order, "blk", "rep", "times", "home", "vec", "codes").repartition(*order).sortWithinPartitions(*order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def done(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Links of whole block pairs, length by length."""
+            t = pa.Table.from_batches(parts).combine_chunks()
+            dims = t.column("dim").to_numpy()
+            edge = (np.flatnonzero(dims[1:] != dims[:-1]) + 1).tolist()
+            for s, e in zip([0, *edge], [*edge, t.num_rows]):
+                if e > s and (out := alike(t.slice(s, e - s))) is not None:
                     yield out
-        parts.append(dealt.mapInArrow(run, "u long, v long, n long"))
-    if parts:
-        found = parts[0]
-        for p in parts[1:]:
-            found = found.unionByName(p)
-        found = cut(found)
-        links = found.where("v is null").groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("n"))
-        label = components(found.where("v is not null").select("u", "v"))
-    else:
-        links = vectors.sparkSession.createDataFrame([], "rep long, n long")
-        label = vectors.sparkSession.createDataFrame([], "node long, root long")
+
+        def alike(t: pa.Table) -> pa.RecordBatch | None:
+            """Link counts (v null) and forest edges (n null) of block pairs of one length."""
+            num = {c: t.column(c).to_numpy() for c in (*order, "blk", "rep", "times", "home")}
+            num["vec"] = _unit(_matrix(t.column("vec").combine_chunks()))
+            num["codes"] = t.column("codes").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
+            group = np.stack([num[c] for c in order], 1)
+            edge = np.flatnonzero((group[1:] != group[:-1]).any(1)) + 1
+            us, vs = [], []
+            for s, e in zip([0, *edge.tolist()], [*edge.tolist(), t.num_rows]):
+                if e - s > 1:
+                    g = {c: x[s:e] for c, x in num.items()}
+                    a, b = _compare(g, int(num["tab"][s]), int(num["lo"][s]), int(num["hi"][s]), probes, least)
+                    us.append(a + s)
+                    vs.append(b + s)
+            if not us or not sum(map(len, us)):
+                return None
+            a, b = np.concatenate(us), np.concatenate(vs)
+            rep, times = num["rep"], num["times"]
+            node, slot = np.unique(np.concatenate((rep[a], rep[b])), return_inverse=True)
+            n = np.bincount(slot, np.concatenate((times[b], times[a]))).astype(np.int64)
+            tree = _forest(rep[a], rep[b])
+            return pa.RecordBatch.from_arrays([pa.array([*node.tolist(), *(x for x, _ in tree)], pa.int64()),
+                                               pa.array([None] * len(node) + [y for _, y in tree], pa.int64()),
+                                               pa.array([*n.tolist(), *([None] * len(tree))], pa.int64())], ["u", "v", "n"])
+        last = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cols = [b.column(c).to_numpy() for c in order]
+            tail = tuple(int(c[-1]) for c in cols)
+            start = b.num_rows - 1
+            while start > 0 and all(int(c[start - 1]) == x for c, x in zip(cols, tail)):
+                start -= 1
+            if start > 0 or tail != last:
+                head = b.slice(0, start)
+                if held or start:
+                    yield from done([*held, head] if start else held)
+                held = [b.slice(start)]
+            else:
+                held.append(b)
+            last = tail
+        if held:
+            yield from done(held)
+    found = cut(dealt.mapInArrow(run, "u long, v long, n long"))
+    links = found.where("v is null").groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("n"))
+    label = components(found.where("v is not null").select("u", "v"))
     home = (groups.join(links, "rep", "left").join(label.withColumnRenamed("node", "rep"), "rep", "left")
             .select("vec", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n"), F.coalesce("root", "rep").alias("root")))
     linked = v.where("good").join(home, "vec").select("vec_id", "n", "root")
