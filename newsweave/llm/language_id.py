@@ -14,10 +14,10 @@ out of the dictionaries, and a low quantile of its margins, at several lengths,
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,12 +33,13 @@ LEVEL, SHORT_LEVEL = 5, 12
 #: margin. PLAIN is the limit where no row could be kept out to fit one.
 FIT_EVERY, FIT_SHARE, FIT_ROWS, PLAIN = 3, 0.01, 20, 0.001
 FIT_LENGTHS = (8, 16, 32, 64, 128, 256, 512, 1000)
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+_NOT_LETTERS, _LETTER = regex.compile(r"[^\p{L}\p{M}]+"), regex.compile(r"\p{L}")
 
 
 def letters(text: str) -> str:
-    """Runs of letters, lower-cased, joined by one blank."""
-    return _NOT_LETTERS.sub(" ", text.lower()).strip()
+    """Runs of letters with their marks, lower-cased, joined by one blank; empty without a
+    letter (marks and other numerals such as fractions are none)."""
+    return _NOT_LETTERS.sub(" ", text.lower()).strip() if _LETTER.search(text) else ""
 
 
 class Model(dict):
