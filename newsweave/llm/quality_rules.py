@@ -161,9 +161,9 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF, min_rows: int = 60, lang: str
     kept is false for texts that fail the base rules (d2 is null) and for texts whose squared
     distance exceeds ``cutoff``. A null text counts as empty and fails. Null languages and
     sources form groups of their own. An empty table stays empty; repeated rows get equal
-    answers.
+    answers. Columns of the added names are replaced.
     """
-    stats = cut(statistics(docs, text_col).withColumn("__row", F.monotonically_increasing_id()))
+    stats = cut(statistics(docs.drop("d2", "kept"), text_col).withColumn("__row", F.monotonically_increasing_id()))
     rest = [c for c in stats.columns if c != "__row"]
     rows = stats.where(~F.col("base_failed")).select("__row", _groups(lang, source).alias("grps"), *[c.alias(k) for k, c in transformed().items()])
     est = fit(rows)
