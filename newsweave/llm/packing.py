@@ -30,36 +30,57 @@ from .common import BoundedCache
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-#: The file's split pattern for lower-case printable ASCII (fixed by the tokenizer).
+#: A split pattern for lower-case printable ASCII that many word tokenizers share; used only
+#: where it gives what the tokenizer gives (``WordEncoder._agrees``).
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _PLAIN = re.compile(rb"[!-~]+")
+_PROBE = "One two  three\n\n4 5\té à\r\n漢字 😀 ( x ) it 's".encode()
 
 
 class WordEncoder:
-    """Ids of a tokenizer that drops white space: words between ASCII blanks are encoded
-    separately and memoised (its pattern never matches across white space)."""
+    """Ids of a tokenizer. Where the tokenizer drops white space and never matches across it,
+    words between ASCII blanks are encoded separately and memoised; other tokenizers get whole
+    texts. Strings of special tokens give the ids of these tokens, as in the tokenizer itself."""
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
         self.end = np.array([end_id], "<u4").tobytes()
         self.model = self.tok.model
         self.parts = BoundedCache(self._part, 400_000)
         self.memo = BoundedCache(self._one, 800_000)
+        self.plain = True
+        self.plain = self._agrees()
+        self.by_words = not any(s.split() != [s] for s in self.special) and self._whole(_PROBE) == b"".join(map(self._whole, _PROBE.split()))
+
+    def _agrees(self) -> bool:
+        """Whether printable ASCII words may go to the merge model part by part."""
+        chars = [chr(c) for c in range(33, 127)]
+        probes = [a + b for a in chars for b in chars] + ["don't", "WE'LL", "a1b22", "x--y", "'S't"]
+        try:
+            return all(self._one(p.encode()) == self._whole(p.encode()) for p in probes)
+        except Exception:  # a model without such a method or vocabulary
+            return False
+
+    def _whole(self, text: bytes) -> bytes:
+        ids = self.tok.encode(text.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _one(self, word: bytes) -> bytes:
-        if _PLAIN.fullmatch(word):  # printable ASCII: its parts go to the merge model directly
+        if self.plain and _PLAIN.fullmatch(word) and not any(s in word for s in self.special):
             return b"".join(map(self.parts.__getitem__, _PARTS.findall(word.lower().decode())))
-        ids = self.tok.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return self._whole(word)
 
     def _part(self, part: str) -> bytes:
         ids = [t.id for t in self.model.tokenize(part)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str | None) -> bytes:
-        words = text.encode("utf-8", "surrogatepass").split() if text else []
+        data = text.encode("utf-8", "surrogatepass") if text else b""
+        if not self.by_words:
+            return self._whole(data) + self.end
+        words = data.split()
         return b"".join(map(self.memo.__getitem__, words)) + self.end
 
 

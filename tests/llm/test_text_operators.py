@@ -171,7 +171,7 @@ def test_packing_costs_are_balanced():
 def test_packing_keeps_every_id(odd, none):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(WORDS)
-    tok.encode_special_tokens = True
+    odd = odd.unionByName(odd.sparkSession.createDataFrame([(40 + i, t) for i, t in enumerate(("a<|endoftext|>b c", "<|STARTOFTEXT|> <|startoftext|>", "<|endoftext|", "½x é\u0301"))], "doc_id long, text string"), allowMissingColumns=True)
     got = packing.pack(odd.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), WORDS, 2, group_tokens=500).collect()
     ids = defaultdict(bytes)
     for r in sorted(got, key=lambda r: (r.doc_id, r.start)):
@@ -273,8 +273,31 @@ def test_line_crf(spark, odd, none):
         lines = [" ".join(rnd.choice(("some", "plain", "words", "here")) + str(rnd.randrange(9)) for _ in range(9)) for _ in range(rnd.randint(1, 6))]
         rows.append((d, "\n".join(x.upper().replace(" ", "!! ") if d % 4 == 0 else x for x in lines), int(d % 4 != 0)))
     df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
-    model = line_quality.train(df.where(~language_id.held_out()))
+    model = line_quality.train(df.drop("quality"), df.where(~language_id.held_out()))
     held = line_quality.classify(df, model).where(language_id.held_out()).collect()
     assert held and all(r.predicted == r.quality for r in held)
     assert line_quality.classify(odd, model).where("score BETWEEN 0 AND 1").count() == odd.count()
     assert line_quality.classify(none, model).count() == 0
+
+
+@pytest.mark.parametrize("text", ["½ ²", "①②", "\u0301", "12 34", "!?", "", None])
+def test_texts_without_letters_have_no_language(text):
+    judge = language_id.Classifier({"en": b"the and of to in", "de": b"der die das und"})
+    assert judge.predict(text)[:2] == ("und", 0.0) and judge.predict("the ½ and")[0] == "en"
+
+
+def test_quality_rules_of_odd_rows(odd, none):
+    clashing = odd.withColumnsRenamed({"score": "d2", "rep": "kept", "k1": "grp"})
+    got = quality_rules.judge(clashing).collect()
+    assert len(got) == odd.count() and all(r.kept is False for r in got if r.base_failed) and all(r.grp == "z" for r in got)
+    assert quality_rules.judge(none).count() == 0
+
+
+def test_other_tokenizers_get_whole_texts(tmp_path):
+    """A tokenizer that keeps white space or splits otherwise is not sent words."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+    tok = Tokenizer(models.BPE(vocab={c: i for i, c in enumerate(" ab")}, merges=[]))
+    tok.pre_tokenizer = pre_tokenizers.Sequence([])
+    tok.save(str(tmp_path / "t.json"))
+    enc = packing.WordEncoder(str(tmp_path / "t.json"), 2)
+    assert np.frombuffer(enc.encode("a b  a"), "<u4").tolist() == [*tok.encode("a b  a").ids, 2]

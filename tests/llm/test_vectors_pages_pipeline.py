@@ -126,3 +126,30 @@ def test_pipeline_stages(spark, tmp_path, odd, none):
             out.write.parquet(path)
             at = spark.read.parquet(path)
     assert at.count() == 0
+
+
+@pytest.mark.parametrize("inside", ["<script>x()</script>", "<svg><text>x</text></svg>", "<select><option>x</select>", "<style>x</style>", "<noscript>x</noscript>", "<iframe>x</iframe>", "<button>x</button>"])
+def test_inline_skipped_elements_keep_the_text_around(inside):
+    assert html_text.blocks_of(f"<article><p>One {inside}two</p></article>") == [(html_text.CONTENT, "One two")]
+
+
+@pytest.mark.parametrize("start", ["<html><head><title>x</title>", "<head><meta charset=utf-8><title>x</title><link rel=a>", "<head><script>a</script>"])
+def test_a_head_without_its_end(start):
+    assert html_text.blocks_of(f"{start}<body><article><p>Text</p></article>") == [(html_text.CONTENT, "Text")]
+    assert html_text.blocks_of(f"{start}<article><p>Text</p></article>") == [(html_text.CONTENT, "Text")]
+
+
+@pytest.mark.parametrize("tag", ["video", "audio", "object", "iframe", "canvas", "button"])
+def test_media_without_its_end_hide_nothing(tag):
+    assert [t for _, t in html_text.blocks_of(f"<article><p>One</p><{tag} src=x><p>Two</p></article>")] == ["One", "Two"]
+    assert [t for _, t in html_text.blocks_of(f"<article><p>One</p><{tag}><p>no</p></{tag}><p>Two</p></article>")] == ["One", "Two"]
+
+
+def test_vectors_of_many_lengths(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for dim in range(1, 81):
+        v = rng.normal(size=dim)
+        rows += [(2 * dim, [float(x) for x in v]), (2 * dim + 1, [float(x) for x in v * 3 + 0.01 * abs(v).max() * rng.normal(size=dim)])]
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 0.9).collect()}
+    assert all(got[2 * d].n_links == got[2 * d + 1].n_links == 1 and got[2 * d + 1].component_id == 2 * d for d in range(1, 81))
