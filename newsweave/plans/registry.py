@@ -155,7 +155,8 @@ def _cycle(spark, sf_dir):
 
 def q_embed(spark, sf_dir):
     a = _articles(spark, sf_dir).select("pos", hashing_encoder("news_summary").alias("e"))
-    return a.select("pos", F.posexplode("e").alias("dim", "val")).where(F.col("val") != 0)
+    # the outer form keeps the optimizer from encoding every text again for a size filter
+    return a.select("pos", F.posexplode_outer("e").alias("dim", "val")).where(F.col("val") != 0)
 
 
 def q_baseline_labels(spark, sf_dir):
