@@ -22,7 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line classifier predicts to be of quality 1, by labels outside the
     held-out fold."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    model = line_quality.train(docs.select("doc_id", "text").join(labels, "doc_id").where(~language_id.held_out()))
+    model = line_quality.train(docs, labels.where(~language_id.held_out()))
     return line_quality.classify(docs, model).where("predicted = 1").select(*docs.columns)
 
 

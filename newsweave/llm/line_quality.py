@@ -124,18 +124,24 @@ def score(text: str | None, model: tuple[np.ndarray, np.ndarray]) -> float:
     return float(min(1.0, max(0.0, (p * weight).sum() / weight.sum())))
 
 
-def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> tuple[np.ndarray, np.ndarray]:
+def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> tuple[np.ndarray, np.ndarray]:
     """Model from at most ``sample_docs`` documents of each label (smallest id hash first) and
-    ``SAMPLE_LINES`` lines of each. Rows with a label other than 0 and 1 are not used. The
+    ``SAMPLE_LINES`` lines of each, spread evenly over the document. ``labels`` has one row per
+    labelled id; of several, the smallest label counts, and labels other than 0 and 1 are not
+    used. Repeated documents count once.
+
+    The sample is drawn from ids alone; only its few rows are sent to one scan of the texts. The
     tasks compute the features, the driver fits the bounded sample."""
-    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)")
+    marks = labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("y")).where("id is not null and y in (0, 1)").groupBy("id").agg(F.min("y").alias("y"))
+    there = marks.join(docs.select(docs[id_col].alias("id")), "id", "left_semi")
     order = F.xxhash64(F.col("id").cast("string"), F.lit(23))
-    pick = [rows.where(F.col("y") == y).select("id", order.alias("h")).orderBy("h", "id").limit(sample_docs).select("id") for y in (0, 1)]
-    chosen = rows.join(F.broadcast(pick[0].unionByName(pick[1])).distinct(), "id").dropDuplicates(["id"])
+    pick = [there.where(F.col("y") == y).select("id", "y", order.alias("h")).orderBy("h", "id").limit(sample_docs).select("id", "y") for y in (0, 1)]
+    # at most 2 * sample_docs rows
+    chosen = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(F.broadcast(pick[0].unionByName(pick[1])), "id").dropDuplicates(["id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            xs = [document_features(t)[0][:SAMPLE_LINES] for t in b.column(0).to_pylist()]
+            xs = [x[np.unique(np.linspace(0, len(x) - 1, SAMPLE_LINES).astype(int))] for x in (document_features(t)[0] for t in b.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array([x.astype(np.float32).tobytes() for x in xs], pa.binary()), b.column(1)], ["x", "y"])
     got = chosen.select("text", "y").mapInArrow(run, "x binary, y int").collect()
     sample = sorted((bytes(r["x"]), r["y"]) for r in got)

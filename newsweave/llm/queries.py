@@ -56,7 +56,7 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
-    model = line_quality.train(docs.join(labels, "doc_id").where(~language_id.held_out()))
+    model = line_quality.train(docs, labels.where(~language_id.held_out()))
     return line_quality.classify(docs, model).select("doc_id", language_id.held_out().alias("held_out"), "score", "predicted")
 
 
