@@ -489,11 +489,11 @@ def _summary_ctes(p: str, where: str) -> str:
 def _load_ctes() -> str:
     return ",".join(c.strip("\n") for c in [
         RAW_ARTICLES, PREPROCESSED, _summary_ctes("p_", "pos % 7 <> 0"), _summary_ctes("c_", "true"), """
-stored_topic AS (SELECT cluster_id AS id FROM p_ok),
+stored_topic AS (SELECT cluster_id AS id FROM p_ok WHERE cluster_id % 3 <> 0),
 stored_news AS (
   SELECT DISTINCT ON (cluster_id, title, news_link) cluster_id AS topic_id, title, news_link, press, publish_date,
          news_summary, is_new, is_third
-  FROM p_matched
+  FROM p_matched WHERE cluster_id % 3 <> 0
 ),
 new_topics AS (SELECT p.cluster_id AS id, p.topic_name, p.ai_summary, p.summary_time FROM c_parsed p
                WHERE p.status = 'ok' AND p.cluster_id NOT IN (SELECT id FROM stored_topic)),

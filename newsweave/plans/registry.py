@@ -183,6 +183,7 @@ from newsweave.plans import summaries as SM  # noqa: E402
 
 SUMMARY_TIME = "2025-07-11 09:00"
 RUN_TS = "2025-07-11 09:00:00"
+UNSEEN_EVERY = 3
 
 
 def _press_topics(spark, sf_dir, baseline_only=False):
@@ -236,6 +237,8 @@ def q_failed_responses(spark, sf_dir):
 def _load(spark, sf_dir):
     """Previous cycle (baseline articles) is stored; the current cycle is loaded on top."""
     _, p_parsed, p_matched = _summarise(_press_topics(spark, sf_dir, baseline_only=True))
+    # the previous cycle had not seen every third topic yet
+    p_parsed, p_matched = (df.where(F.col("cluster_id") % UNSEEN_EVERY != 0) for df in (p_parsed, p_matched))
     stored_topic = SM.summary_rows(p_parsed).select(F.col("cluster_id").alias("id"), "topic_name",
                                                     "ai_summary", "summary_time", "image_url")
     p_arts = SM.summary_article_rows(p_matched).withColumn("_row", F.lit(0))
