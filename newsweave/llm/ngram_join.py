@@ -10,13 +10,21 @@ all documents; it only steers cost, never the result.
 1. Prefix shingles of all representatives; only those that sets of similar size share go on.
 2. Partition similar documents into groups: representatives that share a min-hash (of two)
    are compared with a few leaders of their class; links found here join documents into groups.
+   Those whose rarest shared shingle comes first in their order lead: they are closest to what
+   the class has in common, so that few near copies are left outside the group.
    A class of m near copies takes m times ``leaders`` comparisons, not m squared.
-3. Token-group matrix: one row per (shingle, group), the union of the members' prefixes. A
-   document (query) meets foreign groups through it; the number of its shingles in the
-   group's row bounds its overlap with any member (what two prefixes do not show lies in the
-   rest of one set), and only groups whose bound can reach the threshold are opened.
-4. Members of opened groups are bounded in the same way and verified on the full sets, which
-   are built from the texts for these documents only.
+3. Token-group matrix: one row per (shingle, group), the union of the members' prefixes, with
+   the shingle's first place in a member and the sizes of the members that hold it. A
+   document (query) meets foreign groups through it. If a shingle is the first that two sets
+   share, then what lies before it in either is not shared: its places bound the overlap, and
+   only groups that can reach the threshold through some shingle are opened.
+4. Members of opened groups are bounded in the same way, then by the number of shingles that
+   the two prefixes share (all others lie behind the prefix that ends first), and verified on
+   the full sets, which are built from the texts for these documents only.
+
+Shingles and sets are compared by 64-bit hashes: among s distinct shingles some two collide
+with a probability of about s * s / 2**65, and a collision changes a result only where it meets
+the threshold.
 
 Links inside a group that is already connected are not looked for: they cannot change which
 documents are connected.
@@ -137,7 +145,7 @@ def _texts(src: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _sets(texts: DataFrame, k: int) -> DataFrame:
-    """(rep, n, low, part, tokens) for rows (text, rep, sig, low, part) whose set has the hash
+    """(rep, n, low, part, depth, tokens) for rows (text, rep, sig, low, part, depth) whose set has the hash
     ``sig``; once a min-hash for a row that is repeated (copies of a row are in the same partition, which
     the join on the id has dealt out)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,8 +159,9 @@ def _sets(texts: DataFrame, k: int) -> DataFrame:
                     sets.append(s)
             at = pa.array(rows, pa.int32())
             yield pa.RecordBatch.from_arrays([b.column("rep").take(at), pa.array([len(s) for s in sets], pa.int64()),
-                                              b.column("low").take(at), b.column("part").take(at), _longs(sets)], ["rep", "n", "low", "part", "tokens"])
-    return texts.select("text", "rep", "sig", "low", "part").mapInArrow(run, "rep long, n long, low long, part int, tokens array<long>")
+                                              b.column("low").take(at), b.column("part").take(at), b.column("depth").take(at), _longs(sets)],
+                                             ["rep", "n", "low", "part", "depth", "tokens"])
+    return texts.select("text", "rep", "sig", "low", "part", "depth").mapInArrow(run, "rep long, n long, low long, part int, depth double, tokens array<long>")
 
 
 def _overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -163,7 +172,8 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> int:
 
 def _leaders(sets: DataFrame, percent: int, leaders: int) -> DataFrame:
     """Links (u, v) between the members of a min-hash class (and part) and its leaders: a
-    member that no leader links becomes one itself, up to ``leaders``. The sets stream by."""
+    member that no leader links becomes one itself, up to ``leaders``. The sets stream by, the
+    least ``depth`` first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, lead = None, []
         for b in batches:
@@ -184,7 +194,7 @@ def _leaders(sets: DataFrame, percent: int, leaders: int) -> DataFrame:
                     lead.append((rep, s))
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
     key = ["low", "part"]
-    return sets.select(*key, "rep", "tokens").repartition(*key).sortWithinPartitions(*key, F.xxhash64("rep")).mapInArrow(run, "u long, v long")
+    return sets.select(*key, "rep", "tokens", "depth").repartition(*key).sortWithinPartitions(*key, "depth", F.xxhash64("rep")).mapInArrow(run, "u long, v long")
 
 
 def _linked(a: str, b: str, percent: int):
@@ -200,60 +210,66 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, leaders: int
 
     A document without words (null, empty, only white space) has an empty set, links with
     nothing and is its own component. Rows with a null id are returned with null components
-    and link with nothing. Repeated rows are copies. Other columns are not read.
+    and link with nothing. Repeated rows are copies. Other columns are not read. Texts of any
+    length are read whole; a set is held by one task at a time.
     """
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     rows = cut(_prefixes(src, k, percent, _sketch(src, k)))
     reps = rows.where("n > 0 and doc_id is not null").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"), F.any_value("low").alias("low"))
 
     # 1. prefix shingles that sets of similar size share
-    entries = rows.where("n > 0 and doc_id is not null").select("sig", "n", F.explode("prefix").alias("token")).repartition("token")
+    entries = rows.where("n > 0 and doc_id is not null").select("sig", "n", F.posexplode("prefix").alias("pos", "token")).repartition("token")
     often = entries.groupBy("token").agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a <> b").select("token")
     entries = entries.join(often, "token").distinct()
     # sets that can link lie in the same or in neighbouring size bands
     band = F.floor(F.log(F.col("n").cast("double")) / (1.0001 * math.log(100 / percent)))
     banded = cut(entries.select("*", F.explode(F.array(band, band + 1)).alias("band")))
     alike = banded.groupBy("token", "band").agg(F.count("*").alias("c")).where("c > 1").select("token", "band")
-    entries = banded.join(alike, ["token", "band"]).select("token", "sig", "n").distinct()
-    entries = cut(entries.join(reps.drop("low"), ["sig", "n"]).select("rep", "sig", "n", "token"))
+    entries = banded.join(alike, ["token", "band"]).select("token", "sig", "n", "pos").distinct()
+    entries = cut(entries.join(reps.drop("low"), ["sig", "n"]).select("rep", "sig", "n", "pos", "token"))
 
     # 2. groups of similar documents
-    met = entries.select("rep", "sig").distinct().join(reps.select("rep", "sig", F.explode("low").alias("low")), ["rep", "sig"])
-    parts = met.groupBy("low").agg(F.count("*").alias("c")).where("c > 1").select("low", F.ceil(F.col("c") / class_part).cast("int").alias("parts"))
-    known = cut(met.join(parts, "low", "left").select("rep", "sig", "low", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part")))
+    first = entries.groupBy("rep", "sig").agg(F.min(F.col("pos") / F.col("n")).alias("depth"))
+    met = first.join(reps.select("rep", "sig", F.explode("low").alias("low")), ["rep", "sig"])
+    # a table of its own, so that a frequent class is split in the join
+    parts = cut(met.groupBy("low").agg(F.count("*").alias("c")).where("c > 1").select("low", F.ceil(F.col("c") / class_part).cast("int").alias("parts")))
+    known = cut(met.join(parts, "low", "left").select("rep", "sig", "low", "depth", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part")))
     links = cut(_leaders(_sets(_texts(src, known.where("part is not null")), k), percent, leaders))
     label = components(links)
-    grouped = (entries.select("rep", "n").distinct().join(label.withColumnRenamed("node", "rep"), "rep", "left")
-               .select("rep", F.coalesce("root", "rep").alias("g"), "n"))
-    size = grouped.groupBy("g").agg(F.count("*").alias("members"), F.min("n").alias("n_min"), F.max("n").alias("n_max"))
-    grouped = cut(grouped.drop("n").join(size, "g"))
+    grouped = (entries.select("rep").distinct().join(label.withColumnRenamed("node", "rep"), "rep", "left")
+               .select("rep", F.coalesce("root", "rep").alias("g")))
+    size = grouped.groupBy("g").agg(F.count("*").alias("members"))
+    grouped = cut(grouped.join(size, "g"))
 
     # 3. token-group matrix; the query comes from the smaller of two groups
-    e = entries.select("rep", "n", "token").join(grouped, "rep")
-    matrix = e.select("token", "g", "members", "n_min", "n_max").distinct()
+    e = entries.select("rep", "n", "pos", "token").join(grouped, "rep")
+    matrix = e.groupBy("token", "g", "members").agg(F.min("pos").alias("pos"), F.min("n").alias("n_min"), F.max("n").alias("n_max"))
 
-    def may_link(shared, n, other_low, other_high):
-        """Whether ``shared`` common prefix shingles allow a link with a set of such a size."""
-        low = F.greatest(other_low, F.ceil(n * percent / 100))
-        high = F.least(other_high, F.floor(n * 100 / percent))
-        rest = F.floor(F.greatest(n, high) * percent / 100)  # shingles after the prefix, at most
-        return shared + rest + 1 >= F.ceil((n + low) * percent / (100 + percent))
+    def may_link(n, pos, other_pos, other_low, other_high):
+        """Whether a set of n shingles can link with one of a size from ``other_low`` to
+        ``other_high`` if the first shingle that they share has these places."""
+        low = F.greatest(other_low, F.ceil((percent * n + (100 + percent) * other_pos) / 100))
+        high = F.least(other_high, F.floor((100 + percent) * (n - pos) / percent) - n)
+        return low <= high
 
     q, m = e.alias("q"), matrix.alias("m")
     smaller = (F.col("q.members") < F.col("m.members")) | ((F.col("q.members") == F.col("m.members")) & (F.col("q.g") < F.col("m.g")))
-    opened = (q.join(m, F.col("q.token") == F.col("m.token"))
-              .where((F.col("q.g") != F.col("m.g")) & smaller
-                     & (100 * F.col("m.n_max") >= percent * F.col("q.n")) & (100 * F.col("q.n") >= percent * F.col("m.n_min")))
-              .groupBy("q.rep", "q.n", "m.g", "m.n_min", "m.n_max").agg(F.count("*").alias("bound"))
-              .where(may_link(F.col("bound"), F.col("n"), F.col("n_min"), F.col("n_max"))).select("rep", "g"))
+    opened = (q.join(m, (F.col("q.token") == F.col("m.token")) & (F.col("q.g") != F.col("m.g")) & smaller
+                     & may_link(F.col("q.n"), F.col("q.pos"), F.col("m.pos"), F.col("m.n_min"), F.col("m.n_max")))
+              .select("q.rep", "m.g").distinct())
 
     # 4. members of opened groups
-    inside = (opened.join(e.select("rep", "n", "token"), "rep")
-              .join(e.select(F.col("rep").alias("other"), F.col("n").alias("m"), "g", "token"), ["g", "token"])
-              .where((100 * F.col("m") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("m")))
-              .groupBy("rep", "n", "other", "m").agg(F.count("*").alias("bound"))
-              .where(may_link(F.col("bound"), F.col("n"), F.col("m"), F.col("m"))).select("rep", "other"))
-    inside = cut(inside)
+    other = e.select(F.col("rep").alias("other"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("g").alias("in"), F.col("token").alias("by"))
+    inside = (opened.join(e.select("rep", "n", "pos", "token"), "rep")
+              .join(other, (F.col("g") == F.col("in")) & (F.col("token") == F.col("by"))
+                    & may_link(F.col("n"), F.col("pos"), F.col("at"), F.col("m"), F.col("m")))
+              .select("rep", "other").distinct())
+    held = entries.groupBy("rep", "n").agg(F.collect_list("token").alias("tokens"))
+    both = F.size(F.array_intersect("a.tokens", "b.tokens"))
+    rest = F.ceil(percent * F.greatest("a.n", "b.n") / 100) - 1
+    inside = cut(inside.join(held.alias("a"), F.col("a.rep") == inside["rep"]).join(held.alias("b"), F.col("b.rep") == inside["other"])
+                 .where((100 + percent) * (both + rest) >= percent * (F.col("a.n") + F.col("b.n")))
+                 .select(inside["rep"], "other"))
     ends = inside.select("rep").unionByName(inside.select(F.col("other").alias("rep"))).distinct()
     sets = cut(_sets(_texts(src, known.join(ends, "rep", "left_semi").dropDuplicates(["rep"])), k).select("rep", "n", "tokens"))
     pair = (inside.join(sets.alias("a"), F.col("a.rep") == inside["rep"]).join(sets.alias("b"), F.col("b.rep") == inside["other"])

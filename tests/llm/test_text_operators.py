@@ -99,6 +99,28 @@ def test_ngram_join_equals_brute_force(spark):
         assert got == brute_components(docs, k, percent)
 
 
+def test_ngram_join_of_borderline_copies_equals_brute_force(spark):
+    """A third of the rows are edits of one text, most pairs of which are just below or above
+    the threshold, others share a passage only; ``leaders`` leave many of them to the matrix."""
+    rnd = random.Random(11)
+    base = [f"b{i}" for i in range(110)]
+    docs = []
+    for d in range(240):
+        if d % 3:
+            w = [f"u{rnd.randrange(10**6)}" for _ in range(rnd.randint(5, 60))] + (base[20:40] if d % 3 == 1 else [])
+        else:
+            w = base[:rnd.choice((90, 100, 110))]
+            for _ in range(rnd.randint(0, 4)):
+                w[rnd.randrange(len(w))] = f"z{rnd.randrange(10**6)}"
+        docs.append((d, " ".join(w)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = brute_components(docs, 4, 85)
+    groups = Counter(want[d][1] for d in range(0, 240, 3))
+    assert len(groups) > 5 and max(groups.values()) > 5
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(df, 4, 85, leaders=1, class_part=9).collect()}
+    assert got == want
+
+
 def test_ngram_join_odd_rows(odd, none):
     got = ngram_join.near_duplicates(odd).collect()
     assert len(got) == odd.count()
