@@ -145,23 +145,20 @@ def _texts(src: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _sets(texts: DataFrame, k: int) -> DataFrame:
-    """(rep, n, low, part, depth, tokens) for rows (text, rep, sig, low, part, depth) whose set has the hash
-    ``sig``; once a min-hash for a row that is repeated (copies of a row are in the same partition, which
-    the join on the id has dealt out)."""
+    """(rep, n, tokens) for rows (text, rep, sig) whose set has the hash ``sig``; once for a row
+    that is repeated (copies of a row are in the same partition, which the join on the id has
+    dealt out)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
+        seen: set[int] = set()
         for b in batches:
-            rows, sets = [], []
-            for i, (text, rep, sig, low) in enumerate(zip(*(b.column(c).to_pylist() for c in ("text", "rep", "sig", "low")))):
-                if (rep, low) not in seen and _signature(s := shingles(text, k)) == sig:
-                    seen.add((rep, low))
-                    rows.append(i)
+            reps, sets = [], []
+            for text, rep, sig in zip(*(b.column(c).to_pylist() for c in ("text", "rep", "sig"))):
+                if rep not in seen and _signature(s := shingles(text, k)) == sig:
+                    seen.add(rep)
+                    reps.append(rep)
                     sets.append(s)
-            at = pa.array(rows, pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column("rep").take(at), pa.array([len(s) for s in sets], pa.int64()),
-                                              b.column("low").take(at), b.column("part").take(at), b.column("depth").take(at), _longs(sets)],
-                                             ["rep", "n", "low", "part", "depth", "tokens"])
-    return texts.select("text", "rep", "sig", "low", "part", "depth").mapInArrow(run, "rep long, n long, low long, part int, depth double, tokens array<long>")
+            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), _longs(sets)], ["rep", "n", "tokens"])
+    return texts.select("text", "rep", "sig").mapInArrow(run, "rep long, n long, tokens array<long>")
 
 
 def _overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -170,19 +167,21 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
-def _leaders(sets: DataFrame, percent: int, leaders: int) -> DataFrame:
+def _leaders(texts: DataFrame, k: int, percent: int, leaders: int) -> DataFrame:
     """Links (u, v) between the members of a min-hash class (and part) and its leaders: a
-    member that no leader links becomes one itself, up to ``leaders``. The sets stream by, the
-    least ``depth`` first."""
+    member that no leader links becomes one itself, up to ``leaders``. The rows (text, rep, sig,
+    low, part, depth) stream by, the least ``depth`` first; texts travel, as they are smaller
+    than their sets. A row whose set lacks the hash ``sig`` or that is repeated is passed over."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, lead = None, []
+        group, lead, last = None, [], None
         for b in batches:
-            tokens, (u, v) = b.column(3), ([], [])
-            for i, key in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
-                if key != group:
-                    group, lead = key, []
-                rep, s = b.column(2)[i].as_py(), tokens[i].values.to_numpy()
-                mine = 0
+            u, v = [], []
+            for low, part, rep, sig, text in zip(*(c.to_pylist() for c in b.columns[:5])):
+                if (low, part) != group:
+                    group, lead, last = (low, part), [], None
+                if rep == last or _signature(s := shingles(text, k)) != sig:
+                    continue
+                last, mine = rep, 0
                 for other, t in lead:
                     if 100 * min(len(s), len(t)) >= percent * max(len(s), len(t)):
                         n = _overlap(s, t)
@@ -194,7 +193,8 @@ def _leaders(sets: DataFrame, percent: int, leaders: int) -> DataFrame:
                     lead.append((rep, s))
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
     key = ["low", "part"]
-    return sets.select(*key, "rep", "tokens", "depth").repartition(*key).sortWithinPartitions(*key, "depth", F.xxhash64("rep")).mapInArrow(run, "u long, v long")
+    return (texts.select(*key, "rep", "sig", "text", "depth").repartition(*key)
+            .sortWithinPartitions(*key, "depth", F.xxhash64("rep"), "rep").mapInArrow(run, "u long, v long"))
 
 
 def _linked(a: str, b: str, percent: int):
@@ -219,13 +219,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, leaders: int
 
     # 1. prefix shingles that sets of similar size share
     entries = rows.where("n > 0 and doc_id is not null").select("sig", "n", F.posexplode("prefix").alias("pos", "token")).repartition("token")
-    often = entries.groupBy("token").agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a <> b").select("token")
-    entries = entries.join(often, "token").distinct()
     # sets that can link lie in the same or in neighbouring size bands
     band = F.floor(F.log(F.col("n").cast("double")) / (1.0001 * math.log(100 / percent)))
-    banded = cut(entries.select("*", F.explode(F.array(band, band + 1)).alias("band")))
-    alike = banded.groupBy("token", "band").agg(F.count("*").alias("c")).where("c > 1").select("token", "band")
-    entries = banded.join(alike, ["token", "band"]).select("token", "sig", "n", "pos").distinct()
+    alike = (entries.select("token", "sig", F.explode(F.array(band, band + 1)).alias("band")).groupBy("token", "band")
+             .agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a <> b").groupBy("token").agg(F.collect_set("band").alias("bands")))
+    entries = entries.join(alike, "token").where(F.arrays_overlap("bands", F.array(band, band + 1))).drop("bands").distinct()
     entries = cut(entries.join(reps.drop("low"), ["sig", "n"]).select("rep", "sig", "n", "pos", "token"))
 
     # 2. groups of similar documents
@@ -234,7 +232,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, leaders: int
     # a table of its own, so that a frequent class is split in the join
     parts = cut(met.groupBy("low").agg(F.count("*").alias("c")).where("c > 1").select("low", F.ceil(F.col("c") / class_part).cast("int").alias("parts")))
     known = cut(met.join(parts, "low", "left").select("rep", "sig", "low", "depth", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part")))
-    links = cut(_leaders(_sets(_texts(src, known.where("part is not null")), k), percent, leaders))
+    links = cut(_leaders(_texts(src, known.where("part is not null")), k, percent, leaders))
     label = components(links)
     grouped = (entries.select("rep").distinct().join(label.withColumnRenamed("node", "rep"), "rep", "left")
                .select("rep", F.coalesce("root", "rep").alias("g")))
@@ -271,7 +269,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, leaders: int
                  .where((100 + percent) * (both + rest) >= percent * (F.col("a.n") + F.col("b.n")))
                  .select(inside["rep"], "other"))
     ends = inside.select("rep").unionByName(inside.select(F.col("other").alias("rep"))).distinct()
-    sets = cut(_sets(_texts(src, known.join(ends, "rep", "left_semi").dropDuplicates(["rep"])), k).select("rep", "n", "tokens"))
+    sets = cut(_sets(_texts(src, known.join(ends, "rep", "left_semi").dropDuplicates(["rep"])), k))
     pair = (inside.join(sets.alias("a"), F.col("a.rep") == inside["rep"]).join(sets.alias("b"), F.col("b.rep") == inside["other"])
             .where(_linked("a", "b", percent)).select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v")))
     label = components(links.unionByName(pair))
