@@ -18,9 +18,11 @@ all documents; it only steers cost, never the result.
    document (query) meets foreign groups through it. If a shingle is the first that two sets
    share, then what lies before it in either is not shared: its places bound the overlap, and
    only groups that can reach the threshold through some shingle are opened.
-4. Members of opened groups are bounded in the same way, then by the number of shingles that
-   the two prefixes share (all others lie behind the prefix that ends first), and verified on
-   the full sets, which are built from the texts for these documents only.
+4. The members of opened groups (in parts of about ``part_shingles`` shingles) and the
+   queries that open them meet in one task. An index of the part bounds a query with all its
+   members at once, by the places and the number of the shingles that their prefixes share; no
+   row is made for a pair. What remains is verified in the same way on the full sets, which are
+   built from the texts for these documents only.
 
 Shingles and sets are compared by 64-bit hashes: among s distinct shingles some two collide
 with a probability of about s * s / 2**65, and a collision changes a result only where it meets
@@ -144,23 +146,6 @@ def _texts(src: DataFrame, wanted: DataFrame) -> DataFrame:
     return some.join(wanted, some["doc_id"] == wanted["rep"]).drop("doc_id")
 
 
-def _sets(texts: DataFrame, k: int) -> DataFrame:
-    """(rep, n, tokens) for rows (text, rep, sig) whose set has the hash ``sig``; once for a row
-    that is repeated (copies of a row are in the same partition, which the join on the id has
-    dealt out)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for b in batches:
-            reps, sets = [], []
-            for text, rep, sig in zip(*(b.column(c).to_pylist() for c in ("text", "rep", "sig"))):
-                if rep not in seen and _signature(s := shingles(text, k)) == sig:
-                    seen.add(rep)
-                    reps.append(rep)
-                    sets.append(s)
-            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), _longs(sets)], ["rep", "n", "tokens"])
-    return texts.select("text", "rep", "sig").mapInArrow(run, "rep long, n long, tokens array<long>")
-
-
 def _overlap(a: np.ndarray, b: np.ndarray) -> int:
     both = np.concatenate((a, b))
     both.sort()
@@ -197,14 +182,96 @@ def _leaders(texts: DataFrame, k: int, percent: int, leaders: int) -> DataFrame:
             .sortWithinPartitions(*key, "depth", F.xxhash64("rep"), "rep").mapInArrow(run, "u long, v long"))
 
 
-def _linked(a: str, b: str, percent: int):
-    """Condition that the sets of two rows link, cheap size test first."""
-    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    both = F.size(F.array_intersect(f"{a}.tokens", f"{b}.tokens"))
-    return F.when(100 * F.least(na, nb) >= percent * F.greatest(na, nb), 100 * both >= percent * (na + nb - both)).otherwise(False)
+class _Part:
+    """Index of the members of one part of a group: {rep: (n, tokens, places)}."""
+
+    def __init__(self, members: dict[int, tuple[int, np.ndarray, np.ndarray]]):
+        self.reps = np.fromiter(members, np.int64, len(members))
+        self.n = np.array([m[0] for m in members.values()], np.int64)
+        tokens = np.concatenate([m[1] for m in members.values()])
+        order = np.argsort(tokens, kind="stable")
+        self.tokens = tokens[order]
+        self.who = np.repeat(np.arange(len(members)), [len(m[1]) for m in members.values()])[order]
+        self.at = np.concatenate([m[2] for m in members.values()])[order]
+        self.hit = np.zeros(len(members), bool)
+
+    def linkable(self, n: int, tokens: np.ndarray, places: np.ndarray, percent: int, whole: bool) -> np.ndarray:
+        """Which members can reach the threshold with a set of n shingles, of which ``tokens``
+        are at ascending ``places``; ``whole``: these are full sets, so that it is exact."""
+        lo, hi = np.searchsorted(self.tokens, tokens), np.searchsorted(self.tokens, tokens, "right")
+        count = hi - lo
+        mine = np.repeat(np.arange(len(tokens)), count)
+        theirs = np.arange(len(mine)) + np.repeat(lo - np.cumsum(count) + count, count)
+        who = self.who[theirs]
+        most = both = np.bincount(who, minlength=len(self.n))
+        if not whole:
+            first, last = np.zeros(len(self.n), np.int64), np.zeros(len(self.n), np.int64)
+            last[who] = np.arange(len(who))
+            first[who[::-1]] = np.arange(len(who))[::-1]
+            if len(who):
+                # shared shingles outside the prefixes lie behind the last shared one inside them
+                behind = np.minimum(n - 1 - places[mine[last]], self.n - 1 - self.at[theirs[last]])
+                upper = np.minimum(n - places[mine[first]], self.n - self.at[theirs[first]])
+                most = np.minimum(both + behind, upper)
+        return (both > 0) & ((100 + percent) * most >= percent * (n + self.n))
+
+
+def _visits(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """(key, part, rep, n, tokens, places) for every query of rows (key, kind, rep, n, tokens,
+    places), sorted by key and kind: the members of a part (kind 0) come before its queries."""
+    key, members, part, last = None, {}, None, None
+    for where, kind, rep, n, tokens, places in rows:
+        if where != key:
+            key, members, part, last = where, {}, None, None
+        if kind == 0:
+            members.setdefault(rep, (n, tokens, places))
+        elif members and rep != last:
+            part, last = part or _Part(members), rep
+            yield where, part, rep, n, tokens, places
+
+
+def _candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """(g, part, kind, rep): of the members and queries (g, part, kind, rep, n, tokens, at) those
+    that the prefixes leave as possible links, each once a part."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for b in batches:
+            tokens, at = b.column(5), b.column(6)
+            for i, (g, part, kind, rep, n) in enumerate(zip(*(c.to_pylist() for c in b.columns[:5]))):
+                yield (g, part), kind, rep, n, tokens[i].values.to_numpy().view(np.uint64), at[i].values.to_numpy().astype(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (g, part), held, rep, n, tokens, places in _visits(read(batches)):
+            ok = held.linkable(n, tokens, places, percent, False)
+            if ok.any():
+                fresh = held.reps[ok & ~held.hit]
+                held.hit |= ok
+                reps = np.append(fresh, rep)
+                kind = np.append(np.zeros(len(fresh), np.int32), np.int32(1))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(reps), g)), pa.array(np.full(len(reps), part, np.int32)), pa.array(kind), pa.array(reps)],
+                                                 ["g", "part", "kind", "rep"])
+    rows = rows.select("g", "part", "kind", "rep", "n", "tokens", "at").repartition("g", "part").sortWithinPartitions("g", "part", "kind", "rep")
+    return rows.mapInArrow(run, "g long, part int, kind int, rep long")
+
+
+def _verified(texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (u, v) between the queries and members (g, part, kind, rep, sig, text) of each part,
+    by their full sets. A row whose set lacks the hash ``sig`` or that is repeated is passed over."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for b in batches:
+            for g, part, kind, rep, sig, text in zip(*(c.to_pylist() for c in b.columns)):
+                if _signature(s := shingles(text, k)) == sig:
+                    yield (g, part), kind, rep, len(s), s, np.zeros(len(s), np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, held, rep, n, tokens, places in _visits(read(batches)):
+            v = held.reps[held.linkable(n, tokens, places, percent, True)]
+            if len(v):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), rep)), pa.array(v)], ["u", "v"])
+    rows = texts.select("g", "part", "kind", "rep", "sig", "text").repartition("g", "part").sortWithinPartitions("g", "part", "kind", "rep")
+    return rows.mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, leaders: int = 64, class_part: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, leaders: int = 64, class_part: int = 2000, part_shingles: int = 1 << 21, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, rep, component_id) per row of ``docs``: set size, the smallest
     doc_id with the same set, the smallest doc_id reachable by links.
 
@@ -234,14 +301,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, leaders: int
     known = cut(met.join(parts, "low", "left").select("rep", "sig", "low", "depth", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part")))
     links = cut(_leaders(_texts(src, known.where("part is not null")), k, percent, leaders))
     label = components(links)
-    grouped = (entries.select("rep").distinct().join(label.withColumnRenamed("node", "rep"), "rep", "left")
-               .select("rep", F.coalesce("root", "rep").alias("g")))
-    size = grouped.groupBy("g").agg(F.count("*").alias("members"))
+    grouped = (entries.select("rep", "n").distinct().join(label.withColumnRenamed("node", "rep"), "rep", "left")
+               .select("rep", "n", F.coalesce("root", "rep").alias("g")))
+    size = grouped.groupBy("g").agg(F.count("*").alias("members"), F.ceil(F.sum("n") / part_shingles).cast("int").alias("parts"))
     grouped = cut(grouped.join(size, "g"))
 
     # 3. token-group matrix; the query comes from the smaller of two groups
-    e = entries.select("rep", "n", "pos", "token").join(grouped, "rep")
-    matrix = e.groupBy("token", "g", "members").agg(F.min("pos").alias("pos"), F.min("n").alias("n_min"), F.max("n").alias("n_max"))
+    e = entries.select("rep", "pos", "token").join(grouped, "rep")
+    matrix = e.groupBy("token", "g", "members", "parts").agg(F.min("pos").alias("pos"), F.min("n").alias("n_min"), F.max("n").alias("n_max"))
 
     def may_link(n, pos, other_pos, other_low, other_high):
         """Whether a set of n shingles can link with one of a size from ``other_low`` to
@@ -252,26 +319,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, leaders: int
 
     q, m = e.alias("q"), matrix.alias("m")
     smaller = (F.col("q.members") < F.col("m.members")) | ((F.col("q.members") == F.col("m.members")) & (F.col("q.g") < F.col("m.g")))
-    opened = (q.join(m, (F.col("q.token") == F.col("m.token")) & (F.col("q.g") != F.col("m.g")) & smaller
-                     & may_link(F.col("q.n"), F.col("q.pos"), F.col("m.pos"), F.col("m.n_min"), F.col("m.n_max")))
-              .select("q.rep", "m.g").distinct())
-
-    # 4. members of opened groups
-    other = e.select(F.col("rep").alias("other"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("g").alias("in"), F.col("token").alias("by"))
-    inside = (opened.join(e.select("rep", "n", "pos", "token"), "rep")
-              .join(other, (F.col("g") == F.col("in")) & (F.col("token") == F.col("by"))
-                    & may_link(F.col("n"), F.col("pos"), F.col("at"), F.col("m"), F.col("m")))
-              .select("rep", "other").distinct())
-    held = entries.groupBy("rep", "n").agg(F.collect_list("token").alias("tokens"))
-    both = F.size(F.array_intersect("a.tokens", "b.tokens"))
-    rest = F.ceil(percent * F.greatest("a.n", "b.n") / 100) - 1
-    inside = cut(inside.join(held.alias("a"), F.col("a.rep") == inside["rep"]).join(held.alias("b"), F.col("b.rep") == inside["other"])
-                 .where((100 + percent) * (both + rest) >= percent * (F.col("a.n") + F.col("b.n")))
-                 .select(inside["rep"], "other"))
-    ends = inside.select("rep").unionByName(inside.select(F.col("other").alias("rep"))).distinct()
-    sets = cut(_sets(_texts(src, known.join(ends, "rep", "left_semi").dropDuplicates(["rep"])), k))
-    pair = (inside.join(sets.alias("a"), F.col("a.rep") == inside["rep"]).join(sets.alias("b"), F.col("b.rep") == inside["other"])
-            .where(_linked("a", "b", percent)).select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v")))
+    opened = cut(q.join(m, (F.col("q.token") == F.col("m.token")) & (F.col("q.g") != F.col("m.g")) & smaller
+                        & may_link(F.col("q.n"), F.col("q.pos"), F.col("m.pos"), F.col("m.n_min"), F.col("m.n_max")))
+                 .select("q.rep", "m.g", "m.parts").distinct())
+
+    # 4. members of opened groups and the queries that open them
+    members = (grouped.join(opened.select("g").distinct(), "g", "left_semi")
+               .select("g", F.pmod(F.xxhash64("rep"), "parts").cast("int").alias("part"), F.lit(0).alias("kind"), "rep"))
+    queries = opened.select("g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("kind"), "rep")
+    held = (entries.groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("p"))
+            .select("rep", "n", F.col("p.token").alias("tokens"), F.col("p.pos").alias("at")))
+    found = cut(_candidates(members.unionByName(queries).join(held, "rep"), percent))
+    pair = _verified(_texts(src, found.join(known.select("rep", "sig").dropDuplicates(["rep"]), "rep")), k, percent)
     label = components(links.unionByName(pair))
 
     home = reps.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("sig", "n", "rep", F.coalesce("root", "rep").alias("root"))

@@ -117,7 +117,7 @@ def test_ngram_join_of_borderline_copies_equals_brute_force(spark):
     want = brute_components(docs, 4, 85)
     groups = Counter(want[d][1] for d in range(0, 240, 3))
     assert len(groups) > 5 and max(groups.values()) > 5
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(df, 4, 85, leaders=1, class_part=9).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(df, 4, 85, leaders=1, class_part=9, part_shingles=300).collect()}
     assert got == want
 
 
