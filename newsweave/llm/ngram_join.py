@@ -285,11 +285,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, leaders: int
     reps = rows.where("n > 0 and doc_id is not null").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"), F.any_value("low").alias("low"))
 
     # 1. prefix shingles that sets of similar size share
-    entries = rows.where("n > 0 and doc_id is not null").select("sig", "n", F.posexplode("prefix").alias("pos", "token")).repartition("token")
+    entries = rows.where("n > 0 and doc_id is not null and sig is not null").select("sig", "n", F.posexplode("prefix").alias("pos", "token")).repartition("token")
     # sets that can link lie in the same or in neighbouring size bands
     band = F.floor(F.log(F.col("n").cast("double")) / (1.0001 * math.log(100 / percent)))
-    alike = (entries.select("token", "sig", F.explode(F.array(band, band + 1)).alias("band")).groupBy("token", "band")
-             .agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a <> b").groupBy("token").agg(F.collect_set("band").alias("bands")))
+    # (place and null test of the hash as on the other side of the join, so that both use one shuffle)
+    alike = (entries.select("token", "sig", "pos", F.explode(F.array(band, band + 1)).alias("band")).groupBy("token", "band")
+             .agg(F.min("sig").alias("a"), F.max("sig").alias("b"), F.min("pos").alias("first")).where("a <> b and first >= 0")
+             .groupBy("token").agg(F.collect_set("band").alias("bands")))
     entries = entries.join(alike, "token").where(F.arrays_overlap("bands", F.array(band, band + 1))).drop("bands").distinct()
     entries = cut(entries.join(reps.drop("low"), ["sig", "n"]).select("rep", "sig", "n", "pos", "token"))
 
