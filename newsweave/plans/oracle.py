@@ -486,14 +486,15 @@ def _summary_ctes(p: str, where: str) -> str:
 )"""
 
 
-def _load_ctes() -> str:
+def _load_ctes(stored: str = " WHERE cluster_id % 3 <> 0") -> str:
+    """``stored``: the condition on topics that the previous cycle had seen."""
     return ",".join(c.strip("\n") for c in [
-        RAW_ARTICLES, PREPROCESSED, _summary_ctes("p_", "pos % 7 <> 0"), _summary_ctes("c_", "true"), """
-stored_topic AS (SELECT cluster_id AS id FROM p_ok WHERE cluster_id % 3 <> 0),
+        RAW_ARTICLES, PREPROCESSED, _summary_ctes("p_", "pos % 7 <> 0"), _summary_ctes("c_", "true"), f"""
+stored_topic AS (SELECT cluster_id AS id FROM p_ok{stored}),
 stored_news AS (
   SELECT DISTINCT ON (cluster_id, title, news_link) cluster_id AS topic_id, title, news_link, press, publish_date,
          news_summary, is_new, is_third
-  FROM p_matched WHERE cluster_id % 3 <> 0
+  FROM p_matched{stored}
 ),
 new_topics AS (SELECT p.cluster_id AS id, p.topic_name, p.ai_summary, p.summary_time FROM c_parsed p
                WHERE p.status = 'ok' AND p.cluster_id NOT IN (SELECT id FROM stored_topic)),
@@ -724,13 +725,13 @@ SELECT count(*) AS n, count(*) FILTER (WHERE image_url = '') AS n_empty,
 
 
 def update_topic_images_sql() -> str:
-    return "WITH " + _load_ctes() + "," + _IMG.strip("\n") + """
+    return "WITH " + _load_ctes("") + "," + _IMG.strip("\n") + """
 SELECT t.id, CASE WHEN f.image_url IS NOT NULL AND f.image_url <> '' THEN f.image_url ELSE '' END AS image_url
 FROM stored_topic t LEFT JOIN filled f ON f.cluster_id = t.id"""
 
 
 def news_with_image_sql() -> str:
-    return "WITH " + _load_ctes() + "," + _IMG.strip("\n") + """
+    return "WITH " + _load_ctes("") + "," + _IMG.strip("\n") + """
 SELECT n.topic_id, n.title, n.news_link, coalesce(f.image_url, '') AS image_url
 FROM ins_news n LEFT JOIN filled f ON f.cluster_id = n.topic_id"""
 
