@@ -84,3 +84,16 @@ def test_freshness(spark):
 def test_prompt_title_count(spark):
     p = "1. title: a" + NL + "x" + NL + NL + "2. title: b" + NL
     assert _one(spark, TX.prompt_title_count("v"), [p]) == [2]
+
+
+def test_strip_knows_every_white_space_character(spark):
+    every = [chr(c) for c in range(0x3100) if not 0xD800 <= c < 0xE000]
+    values = [f"{c}a{c} b{c}{c}" for c in every if c != "\0"]
+    assert _one(spark, TX.strip_py("v"), values) == [v.strip() for v in values]
+
+
+def test_costly_rules_run_only_where_their_mark_is(spark):
+    plan = spark.createDataFrame([("a",)], "v string").select(TX.clean_content(TX.hanja_to_hangul("v")).alias("c"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("CASE WHEN") == 15   # every rule but the last two, which each text needs
+    marks = [("a  b \t c\xa0 ", "a b c"), ("x　", "x"), ("é é", "é é"), ("中é", "중국é"), ("[中]a", "a"), ("a@", "a@"), ("url.kr/x y", "y")]
+    assert _one(spark, TX.clean_content(TX.hanja_to_hangul("v")), [m for m, _ in marks]) == [w for _, w in marks]
