@@ -43,6 +43,8 @@ IMAGE_TAG = "img#img1, div#img1 img"
 IMAGE_ATTRS = ["src", "currentSrc", "data-src", "data-lazysrc", "data-origin-src"]
 SRCSET_ATTRS = ["srcset", "data-srcset"]
 IMAGE_METAS = ['meta[property="og:image"]', 'meta[name="twitter:image"]']
+# Pages whose findings are held at once; a batch of Spark may have ten thousand.
+PAGES_AT_ONCE = 64
 
 
 def _parsed(pages: DataFrame, columns: list[str], fn: Callable[[Page], list], kind: str, out: str) -> DataFrame:
@@ -51,11 +53,12 @@ def _parsed(pages: DataFrame, columns: list[str], fn: Callable[[Page], list], ki
     schema = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in rest) + f", {out} {kind}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [fn(Page(h)) for h in b.column("html").to_pylist()]
-            arrays = [b.column(c) for c in rest]
-            kinds = {"array<string>": pa.list_(pa.string()), "array<struct<href:string,text:string>>": pa.list_(pa.struct([("href", pa.string()), ("text", pa.string())]))}
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(found, kinds[kind])], [*rest, out])
+        kinds = {"array<string>": pa.list_(pa.string()), "array<struct<href:string,text:string>>": pa.list_(pa.struct([("href", pa.string()), ("text", pa.string())]))}
+        for batch in batches:
+            for at in range(0, batch.num_rows, PAGES_AT_ONCE):
+                b = batch.slice(at, PAGES_AT_ONCE)
+                found = [fn(Page(h.as_py())) for h in b.column("html")]
+                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in rest], pa.array(found, kinds[kind])], [*rest, out])
     return pages.select(*rest, "html").mapInArrow(run, schema)
 
 
