@@ -63,3 +63,17 @@ def test_unread_columns_are_not_shuffled(spark):
     assert firsts.columns == arts.columns and firsts.first().news_summary == "x"
     for df in (matched.select("pos", "title_pos"), firsts.select("pos")):
         assert "min_by(news_summary" not in _plan(df) and "struct(" not in _plan(df).split("min_by(")[1].split(",")[0]
+
+
+@pytest.mark.parametrize("query", [R.q_news_with_image, R.q_refresh_is_new, R.q_image_completeness, R.q_insert_news, R.q_update_topic_images])
+def test_answers_are_parsed_once_for_all_branches(spark, docs_dir, query):
+    assert "parse_answer" not in _plan(query(spark, docs_dir))
+
+
+def test_stored_answers_keep_every_answer_and_title(spark):
+    rows = [(1, "ok", "t", "a1", ["x", None, "x"]), (2, "ok", "t", None, []), (3, "failed", "t", "", ["y"]), (None, "ok", "t", "a4", ["x"])]
+    parsed = spark.createDataFrame(rows, "cluster_id int, status string, summary_time string, ai_summary string, article_titles array<string>")
+    heads, titles = SM.store_answers(parsed)
+    assert sorted(heads.collect(), key=str) == sorted([r[:4] for r in rows], key=str)
+    arts = spark.createDataFrame([(5, 1, "x"), (6, 1, "x"), (7, 3, "y")], "pos long, cluster_id int, title string")
+    assert sorted(SM.match_titles(titles, arts).collect()) == sorted(SM.match_titles(parsed, arts).collect()) == [(1, 0, 5, "x"), (1, 2, 5, "x")]
