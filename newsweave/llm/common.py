@@ -24,9 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """The words of a text as UTF-8 bytes; none for null."""
-    return text.encode("utf-8", "surrogatepass").translate(_SPACES).split() if text else []
+def words_of(text: str | None, table: bytes | None = None) -> list[bytes]:
+    """The words of a text as UTF-8 bytes, mapped by ``table`` if given, which must leave white
+    space as it is; none for null."""
+    if not text:
+        return []
+    data = text.encode("utf-8", "surrogatepass")
+    return (data.translate(_SPACES) if table is None else data.translate(_SPACES).translate(table)).split()
 
 
 class BoundedCache(dict):
@@ -43,7 +47,8 @@ class BoundedCache(dict):
         return v
 
 
-_WORD_HASH = BoundedCache(xxhash.xxh3_64_intdigest)
+#: Beyond the common words a longer memo saves no time, but takes 50 MB a worker.
+_WORD_HASH = BoundedCache(xxhash.xxh3_64_intdigest, 100_000)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:

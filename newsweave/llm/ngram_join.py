@@ -49,15 +49,17 @@ SKETCH_ROWS, SKETCH_SLOTS = 2, 1 << 16
 _A = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+#: Rows of a batch that a task looks at, and makes sets of, at a time.
+_ROWS = 256
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the k-word shingles of a text, A-Z lower-cased; with
     fewer than k words the whole sequence is one shingle; none without words."""
-    words = words_of(text)
+    words = words_of(text, _LOWER)
     if not words:
         return np.empty(0, np.uint64)
-    h = word_hashes([w.translate(_LOWER) for w in words])
+    h = word_hashes(words)
     n = min(k, len(h))
     acc = np.full(len(h) - n + 1, n, np.uint64)
     for i in range(n):
@@ -65,6 +67,12 @@ def shingles(text: str | None, k: int) -> np.ndarray:
     return np.unique(acc)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for k in range(0, b.num_rows, _ROWS):
+            yield b.slice(k, _ROWS)
+
+
 def _slots(tokens: np.ndarray) -> Iterator[np.ndarray]:
     for r in range(SKETCH_ROWS):
         yield (mix(tokens ^ _SEEDS[r]) >> np.uint64(48)).astype(np.int64) + r * SKETCH_SLOTS
@@ -74,11 +82,10 @@ def _sketch(src: DataFrame, k: int) -> np.ndarray:
     """Shingle frequencies over all documents in a sketch of fixed size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SKETCH_ROWS * SKETCH_SLOTS, np.int64)
-        for b in batches:
-            sets = [shingles(t, k) for t in b.column(0).to_pylist()]
-            if sets:
-                for at in _slots(np.concatenate(sets)):
-                    total += np.bincount(at, minlength=len(total))
+        for b in _pieces(batches):
+            sets = np.concatenate([shingles(t, k) for t in b.column(0).to_pylist()])
+            for at in _slots(sets):
+                np.add.at(total, at, 1)
         slot = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(total[slot])], ["slot", "n"])
     rows = src.select("text").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
@@ -108,7 +115,7 @@ def _prefixes(src: DataFrame, k: int, percent: int, sketch: np.ndarray) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         freq = shared.value
-        for b in batches:
+        for b in _pieces(batches):
             n, sig, low, pre = [], [], [], []
             for t in b.column(1).to_pylist():
                 s = shingles(t, k)
@@ -134,15 +141,9 @@ def _texts(src: DataFrame, wanted: DataFrame) -> DataFrame:
             .agg(F.bit_or(F.expr("shiftleft(1L, CAST(s & 63 AS INT))")).alias("b")).toPandas())
     table = np.zeros(_BITS >> 6, np.int64)
     table[bits["w"].to_numpy()] = bits["b"].to_numpy()
-    shared = src.sparkSession.sparkContext.broadcast(table)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            s = b.column(2).to_numpy()
-            ok = (shared.value[s >> 6] >> (s & 63)) & 1
-            yield b.select(["doc_id", "text"]).filter(pa.array(ok.astype(bool)))
-    some = src.where("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id").bitwiseAND(_BITS - 1).alias("slot"))
-    some = some.mapInArrow(run, "doc_id long, text string")
+    held = F.broadcast(src.sparkSession.createDataFrame([(table.tolist(),)], "bits array<long>"))
+    some = (src.where("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id").bitwiseAND(_BITS - 1).alias("slot"))
+            .join(held, F.expr("shiftright(bits[CAST(shiftright(slot, 6) AS INT)], CAST(slot & 63 AS INT)) & 1 = 1")).select("doc_id", "text"))
     return some.join(wanted, some["doc_id"] == wanted["rep"]).drop("doc_id")
 
 
@@ -159,7 +160,7 @@ def _leaders(texts: DataFrame, k: int, percent: int, leaders: int) -> DataFrame:
     than their sets. A row whose set lacks the hash ``sig`` or that is repeated is passed over."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, lead, last = None, [], None
-        for b in batches:
+        for b in _pieces(batches):
             u, v = [], []
             for low, part, rep, sig, text in zip(*(c.to_pylist() for c in b.columns[:5])):
                 if (low, part) != group:
@@ -257,7 +258,7 @@ def _verified(texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (u, v) between the queries and members (g, part, kind, rep, sig, text) of each part,
     by their full sets. A row whose set lacks the hash ``sig`` or that is repeated is passed over."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for b in batches:
+        for b in _pieces(batches):
             for g, part, kind, rep, sig, text in zip(*(c.to_pylist() for c in b.columns)):
                 if _signature(s := shingles(text, k)) == sig:
                     yield (g, part), kind, rep, len(s), s, np.zeros(len(s), np.int64)

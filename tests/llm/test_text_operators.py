@@ -7,13 +7,14 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from newsweave.llm import bpe, language_id, line_quality, ngram_join, packing, quality_rules, substring_dedup, token_counts
+from newsweave.llm import bpe, common, language_id, line_quality, ngram_join, packing, quality_rules, substring_dedup, token_counts
 
 RANKS, WORDS = P.path("byte_bpe_50k.tiktoken"), P.path("word_bpe_49k.json")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -121,6 +122,21 @@ def test_ngram_join_of_borderline_copies_equals_brute_force(spark):
     assert got == want
 
 
+def test_ngram_join_reads_texts_in_bounds(spark):
+    """Texts reach no Python worker to be dropped there, batches are looked at in pieces, and the
+    memo of word hashes stays small; words are lower-cased with the text."""
+    src = spark.createDataFrame([(i, f"Text {i}") for i in range(400)] + [(None, "none"), (-5, "Minus")], "doc_id long, text string")
+    wanted = spark.createDataFrame([(-5, "a"), (7, "b"), (7, "c"), (399, "d"), (900, "e")], "rep long, low string")
+    some = ngram_join._texts(src, wanted)
+    assert "MapInArrow" not in some._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.rep, r.low, r.text) for r in some.collect()) == [(-5, "a", "Minus"), (7, "b", "Text 7"), (7, "c", "Text 7"), (399, "d", "Text 399")]
+    batch = pa.RecordBatch.from_pydict({"x": list(range(1000))})
+    pieces = list(ngram_join._pieces(iter([batch, batch.slice(0, 0)])))
+    assert max(b.num_rows for b in pieces) < 1000 and [x for b in pieces for x in b.column(0).to_pylist()] == list(range(1000))
+    assert common._WORD_HASH.limit <= 100_000
+    assert ngram_join.shingles("Ärger\u00a0X AB\x0bcD\tE f", 2).tolist() == ngram_join.shingles("Ärger\u00a0x ab cd e F", 2).tolist()
+
+
 def test_ngram_join_odd_rows(odd, none):
     got = ngram_join.near_duplicates(odd).collect()
     assert len(got) == odd.count()
