@@ -137,6 +137,41 @@ def test_ngram_join_reads_texts_in_bounds(spark):
     assert ngram_join.shingles("Ärger\u00a0X AB\x0bcD\tE f", 2).tolist() == ngram_join.shingles("Ärger\u00a0x ab cd e F", 2).tolist()
 
 
+def test_ngram_join_parities_bound_what_is_not_shared():
+    """The bound holds for sets of different sizes, and tells near copies from others."""
+    rnd = np.random.default_rng(3)
+    for n, m, both in ((400, 380, 370), (400, 400, 200), (70, 60, 58), (1, 1, 0), (5000, 4100, 4000), (64, 65, 64)):
+        s = np.unique(rnd.integers(0, 1 << 63, n + m - both, dtype=np.uint64))
+        a, b = np.sort(s[:n]), np.sort(s[n - both:])
+        x, y = (np.frombuffer(ngram_join._parity(v), np.uint64) for v in (a, b))
+        bound = ngram_join._apart(x, y)
+        assert bound == ngram_join._apart(y, x) <= len(a) + len(b) - 2 * both
+        if 100 * both >= 85 * len(s):
+            assert ngram_join._close(len(a), len(b), bound, 85)
+    s = rnd.integers(0, 1 << 63, 600, dtype=np.uint64)
+    x, y = (np.frombuffer(ngram_join._parity(np.sort(v)), np.uint64) for v in (s[:400], s[200:]))
+    assert not ngram_join._close(400, 400, ngram_join._apart(x, y), 85)
+
+
+def test_ngram_join_shared_shingles_equal_brute_force(spark):
+    rnd = random.Random(9)
+    rows = sorted({(sig, 20 + 3 * sig, rnd.randrange(9), t) for sig in range(40) for t in rnd.sample(range(60), 6)})
+    want = sorted(r for r in rows if any(o[3] == r[3] and o[0] != r[0] and 100 * min(o[1], r[1]) >= 85 * max(o[1], r[1]) for o in rows))
+    df = spark.createDataFrame(rows + rows[::3], "sig long, n long, pos int, token long")
+    assert 0 < len(want) < len(rows)
+    assert sorted(map(tuple, ngram_join._shared(df, 85).select("sig", "n", "pos", "token").collect())) == want
+
+
+def test_ngram_join_makes_one_link_for_a_query_and_part(spark):
+    """The members of a part are connected: one link of a query tells as much as all of them, and
+    their number does not grow with the product of members and queries."""
+    texts = {i: " ".join(f"b{j}" if j != 7 * i else f"z{i}" for j in range(300)) for i in range(12)} | {12: "none of these words here"}
+    rows = [(5, 0, int(i >= 6), i, ngram_join._signature(ngram_join.shingles(t, 4)), t) for i, t in texts.items()]
+    df = spark.createDataFrame(rows + rows[:2], "g long, part int, kind int, rep long, sig long, text string")
+    got = sorted(map(tuple, ngram_join._verified(df, 4, 85).collect()))
+    assert [u for u, _ in got] == list(range(6, 12)) and all(v < 6 for _, v in got)
+
+
 def test_ngram_join_odd_rows(odd, none):
     got = ngram_join.near_duplicates(odd).collect()
     assert len(got) == odd.count()
